@@ -22,6 +22,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import join
+
+    return join(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
@@ -69,7 +75,7 @@ def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_warc_reassembly, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op10_anisotropic_search)}
+    return {f.__name__: f for f in (op2_ngram_jaccard_join, op3_warc_reassembly, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op10_anisotropic_search)}
 
 
 OP3_SQL = """

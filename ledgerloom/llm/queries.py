@@ -22,6 +22,13 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .context_tree import score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", (F.pmod(crc32_of_id(), F.lit(7)) != 2).alias("learn"))
+    return score(docs)
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import join
 
@@ -75,7 +82,7 @@ def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_jaccard_join, op3_warc_reassembly, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op10_anisotropic_search)}
+    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op10_anisotropic_search)}
 
 
 OP3_SQL = """

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 MARGIN = 32
 #: Distinct pre-tokens whose counts a worker keeps; then it starts anew.
 KEEP = 1 << 19
+#: Characters of the texts that are cut at a time.
+SLICE = 1 << 20
 #: Pre-tokens as byte-level BPE cuts them. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes are the same in every Unicode version that a library may use.
@@ -104,9 +106,15 @@ class Counter:
 
     def counts(self, texts: list[str | None]) -> list[int]:
         out: list[int] = [0] * len(texts)
-        some = [i for i, x in enumerate(texts) if x and len(x) <= self.chunk]
-        for i, n in zip(some, self.short([texts[i] for i in some])):
-            out[i] = n
+        some, size = [], 0
+        for i, x in enumerate([*texts, None]):
+            if i == len(texts) or size > SLICE:
+                for j, n in zip(some, self.short([texts[j] for j in some])):
+                    out[j] = n
+                some, size = [], 0
+            if x and len(x) <= self.chunk:
+                some.append(i)
+                size += len(x)
         for i, x in enumerate(texts):
             if x and len(x) > self.chunk:
                 out[i] = self.long(x)

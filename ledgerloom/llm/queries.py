@@ -45,6 +45,14 @@ def op3_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve(read_warc(spark, path))
 
 
+def op4_line_similarity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce(F.col("text"), F.lit(""))
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.md5(kept).alias("kept_md5"))
+
+
 def op5_rendezvous_sharding(spark: SparkSession, sf_dir: str, shards: int = 8) -> DataFrame:
     from .sharding import rendezvous, shard
 
@@ -75,6 +83,12 @@ def op8_overlap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
 
 
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .templates import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("row_hash")
+
+
 def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import neighbours
 
@@ -82,7 +96,7 @@ def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op10_anisotropic_search)}
+    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search)}
 
 
 OP3_SQL = """

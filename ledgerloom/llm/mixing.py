@@ -120,9 +120,9 @@ def _seed(*parts: object) -> np.random.Generator:
     return np.random.default_rng(zlib.crc32(repr(parts).encode()))
 
 
-def mix(docs: DataFrame, seed: int = 0, weights: Sequence[float] = (1, 2, 3), most: float = 3.0, block: int = BLOCK, open_: int = OPEN) -> DataFrame:
-    """docs (doc_id, source, size) plus source_size, target, copies and taken = copies * size."""
-    docs = docs.select("doc_id", "source", F.col("size").cast("long").alias("size"))
+def mix(docs: DataFrame, seed: int = 0, weights: Sequence[float] = (1, 2, 3), most: float = 3.0, block: int = BLOCK, open_: int = OPEN, carry: Sequence[str] = ()) -> DataFrame:
+    """docs (doc_id, source, size and what to carry) plus source_size, target, copies and taken = copies * size."""
+    docs = docs.select("doc_id", "source", F.col("size").cast("long").alias("size"), *carry)
     docs = written(docs, "mix-sizes")
     sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs")), weights, most)
     sources = written(sources, "mix-sources")
@@ -162,4 +162,4 @@ def mix(docs: DataFrame, seed: int = 0, weights: Sequence[float] = (1, 2, 3), mo
     for more in done[1:]:
         out = out.unionByName(more)
     copies = (F.col("_full") + F.round("_p").cast("long")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", *carry, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import WORD, crc32_of_id, shared_dir, written
+from .common import crc32_of_id, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,8 +93,14 @@ def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(_table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search)}
+    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search, pipeline)}
 
 
 OP3_SQL = """

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from .common import WORD, written
 
-#: Documents that one flight takes, and the open ones it leaves at least for the landing.
+#: Documents that one flight takes, and those that it leaves open for the landing.
 BLOCK, OPEN = 20_000, 14
 _TINY = 1e-9
 
@@ -53,17 +53,29 @@ def targets(sources: DataFrame, weights: Sequence[float] = (1, 2, 3), most: floa
     return sources.withColumn("target", F.least("_cap", F.coalesce(F.col("_w") * level, F.col("_cap")))).drop("_w", "_cap", "_level")
 
 
-def flight(p: np.ndarray, x: np.ndarray, draws: np.random.Generator, leave: int) -> np.ndarray:
-    """Move p (0 to 1) until at most `leave` units, or three, are open; sum(p) and sum(p * x) stay as they are."""
+def held_back(x: np.ndarray, n: int) -> list[int]:
+    """Up to n units that a landing can fit a total with: the largest, then some near each halving of that size."""
+    order = np.argsort(-x, kind="stable").tolist()
+    out = order[: n // 3]
+    rest, want = order[n // 3 :], float(x[order[0]]) if order else 0.0
+    while rest and len(out) < n:
+        want /= 2
+        out.append(rest.pop(min(range(len(rest)), key=lambda i: abs(float(x[rest[i]]) - want)) if want >= 1 else -1))
+    return out
+
+
+def flight(p: np.ndarray, x: np.ndarray, draws: np.random.Generator, held: list[int]) -> np.ndarray:
+    """Move p (0 to 1) until at most three units besides the held ones are open; sum(p) and sum(p * x) stay as they are."""
     p = p.astype(float).copy()
     p[p < _TINY], p[p > 1 - _TINY] = 0.0, 1.0
-    queue = [int(k) for k in np.flatnonzero((p > 0) & (p < 1))]
-    take, active = max(0, len(queue) - max(leave, 3)), queue[:3]
+    aside = set(held)
+    queue = [int(k) for k in np.flatnonzero((p > 0) & (p < 1)) if k not in aside]
+    active = queue[:3]
     at = 3
     value = {k: float(p[k]) for k in active}
     coin = iter(draws.random(2 * len(queue) + 8).tolist())
     xs = x.astype(float)
-    while take > 0 and len(active) == 3:
+    while len(active) == 3:
         a, b, c = active
         xa, xb, xc = float(xs[a]), float(xs[b]), float(xs[c])
         u = (xc - xb, xa - xc, xb - xa)  # in the null space of the rows (1, 1, 1) and x
@@ -83,7 +95,6 @@ def flight(p: np.ndarray, x: np.ndarray, draws: np.random.Generator, leave: int)
             if v < _TINY or v > 1 - _TINY:
                 p[k] = 0.0 if v < 0.5 else 1.0
                 del value[k]
-                take -= 1
             else:
                 value[k] = v
                 rest.append(k)
@@ -102,7 +113,7 @@ def landing(p: np.ndarray, x: np.ndarray, want: float, draws: np.random.Generato
     """Settle the open units of p for the total of p * x nearest to want; ties go to the nearest count, then to chance."""
     p = p.copy()
     open_ = np.flatnonzero((p > 0) & (p < 1))
-    if len(open_) > 18:
+    if len(open_) > 20:
         raise ValueError("the flight left too much open")
     outcomes = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
     settled = p.copy()
@@ -136,7 +147,8 @@ def mix(docs: DataFrame, seed: int = 0, weights: Sequence[float] = (1, 2, 3), mo
             g = g.sort_by([("_h", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
             x, p = g["size"].to_numpy(), g["_p"].to_numpy()
             draws = _seed(seed, level, g["source"][0].as_py(), g["_h"][0].as_py())
-            out = flight(p, x, draws, open_)
+            undecided = np.flatnonzero((p > _TINY) & (p < 1 - _TINY))
+            out = flight(p, x, draws, undecided[held_back(x[undecided], open_)].tolist())
             if last:
                 out = landing(out, x, float(p @ x), draws)
             return g.set_column(g.schema.get_field_index("_p"), "_p", pa.array(out))

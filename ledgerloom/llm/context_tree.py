@@ -35,9 +35,9 @@ DEPTH = 5
 END = 0xFF
 #: Entries of the look-up tables, at most.
 STRINGS, WORDS = 1 << 22, 1 << 19
-CHARACTERS = 3_000_000
+CHARACTERS = 1_500_000
 #: Distinct strings that a task holds before it hands them on.
-HOLD = 1 << 22
+HOLD = 3 << 19
 _U = np.uint64
 _LN2 = float(np.log(2.0))
 
@@ -255,7 +255,7 @@ def count(docs: DataFrame, ranges: int) -> DataFrame:
                     if yes:
                         words.update(x.split())
                         words[b""] += 1  # the end
-                if len(words) > HOLD // 8:
+                if len(words) > HOLD // 6:
                     yield from flush()
         if held:
             yield from strings()

@@ -24,10 +24,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 SEGMENT = 1 << 15
 CHUNK = 1 << 12
 #: Segments in a file at most: with SEGMENT and headers about 35 MB.
 PER_FILE = 1000
+#: Repeated digests, of 60 bytes each, that are sent to all executors; beyond, a join shuffles.
+SMALL = 1 << 17
 CRLF = "\r\n"
 END = "\r\n\r\n"
 
@@ -57,6 +61,9 @@ def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 1000) -
     share = F.when(F.col(key).isNotNull() & (F.octet_length("_body") >= least), F.col("payload_digest"))
     winners = pages.select(F.col(key), F.sha1(body).alias("_digest"), F.octet_length(body).alias("_n")).where(F.col(key).isNotNull() & (F.col("_n") >= least))
     winners = winners.groupBy("_digest").agg(F.max(key).alias("_winner"), F.count("*").alias("_copies")).where("_copies > 1").select("_digest", "_winner")
+    winners = written(winners, "winners")
+    if winners.count() <= SMALL:  # the payloads need not be shuffled then
+        winners = F.broadcast(winners)
     rows = rows.withColumn("_share", share).join(winners, F.col("_share") == F.col("_digest"), "left")
     again = F.col("_winner").isNotNull() & (F.col("_winner") != F.col(key))
     return rows.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("_winner"))).drop("_share", "_digest", "_winner")
@@ -119,7 +126,7 @@ def records_of(data: bytes) -> Iterator[tuple]:
             raise ValueError(f"the record at byte {at} has another length than it says")
         yield (
             head["warc-record-id"], head.get("warc-segment-origin-id", head["warc-record-id"]), head["warc-type"], head.get("warc-target-uri"),
-            head.get("warc-payload-digest"), head.get("warc-refers-to-page"), int(head.get("warc-segment-number", 1)),
+            head.get("warc-payload-digest"), head.get("warc-refers-to-page"), int(head.get("warc-segment-number", 0)),
             int(head["warc-segment-total-length"]) if "warc-segment-total-length" in head else None, data[begin:end],
         )
         at = end + 4
@@ -169,16 +176,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row for each logical record: record_id, warc_type, uri, digest, refers_to, payload, error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     segments = files.mapInPandas(_parse, RECORD)
-    joined = segments.groupBy("origin_id").agg(
+    # a record without a segment number is whole; only the others are grouped and shuffled
+    single = segments.where("segment = 0").select(F.col("record_id"), "warc_type", "uri", "digest", "refers_to", "block", F.lit(None).cast("string").alias("error"))
+    joined = segments.where("segment <> 0").groupBy("origin_id").agg(
         F.array_sort(F.collect_list(F.struct("segment", "warc_type", "uri", "digest", "refers_to", "total", "block"))).alias("s")
     )
     first, n = F.col("s")[0], F.size("s")
     total = F.array_max(F.transform("s", lambda x: x.total))
     block = F.array_join(F.transform("s", lambda x: x.block.cast("string")), "").cast("binary")
     gap = F.exists(F.sequence(F.lit(1), n), lambda i: F.col("s")[i - 1].segment != i)
-    error = F.when(gap, "segments are missing or repeated").when((n > 1) & total.isNull(), "no total length").when((n > 1) & (total != F.octet_length("block")), "total length differs")
+    error = F.when(gap, "segments are missing or repeated").when(total.isNull(), "no total length").when(total != F.octet_length("block"), "total length differs")
     whole = joined.select(F.col("origin_id").alias("record_id"), first.warc_type.alias("warc_type"), first.uri.alias("uri"), first.digest.alias("digest"), first.refers_to.alias("refers_to"), block.alias("block"), "s")
-    whole = whole.withColumn("error", error).drop("s")
+    whole = whole.withColumn("error", error).drop("s").unionByName(single)
     return whole.mapInPandas(_decode, "record_id string, warc_type string, uri string, digest string, refers_to string, payload binary, error string")
 
 
@@ -194,6 +203,7 @@ def resolve(records: DataFrame) -> DataFrame:
     )
     bad = F.col("error").isNotNull() | ((F.col("record_type") == "response") & (F.col("found") != F.col("said")))
     rows = rows.withColumn("payload_digest", F.when(bad, F.raise_error(F.concat(F.lit("broken record: "), F.coalesce("error", F.lit("digest differs"))))).otherwise(F.col("said")))
+    rows = written(rows.drop("error"), "records")  # without payloads
     firsts = rows.where("record_type = 'response' AND page_id IS NOT NULL").groupBy(F.col("page_id").alias("_page"), F.col("found").alias("_digest")).agg(F.max("payload_bytes").alias("_bytes"))
     joined = rows.join(firsts, (F.col("refers_to") == F.col("_page")) & (F.col("said") == F.col("_digest")), "left")
     size = F.when(F.col("record_type") == "revisit", F.col("_bytes")).otherwise(F.col("payload_bytes"))

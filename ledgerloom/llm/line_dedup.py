@@ -1,10 +1,11 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct lower-case words. A line goes if a line at an earlier place
+A line's tokens are its distinct shingles of `n` lower-case words, five unless said otherwise; a
+line of fewer words is one shingle. Shingles are compared by 64-bit hashes. A line goes if a line at an earlier place
 (doc_id, then line number; null ids last) has a Jaccard similarity of `num` / `den` or more with
-it; equal token sets have 1. Lines with one token set are a class, and only its first place counts.
+it. Equal lines are a class, and only its first place counts.
 
-Tokens are ordered by rarity: counts of hashed words in a table of fixed size, then by hash. Lines
+Tokens are ordered by rarity: counts of hashed shingles in a table of fixed size, then by hash. Lines
 that match share a token among their first n - ceil(n * num / den) + 1, at places that leave
 enough tokens behind them, and their sizes are near. Each class is compared first with the
 earliest class that has one of its prefix tokens; only those that find no match there are compared
@@ -19,22 +20,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import WORD, written
 
-#: Counters of hashed words, and bits (as a power of 2) of the bitmap of wanted classes.
-COUNTERS, WANTED = 1 << 15, 22
+#: Counters of hashed shingles.
+COUNTERS = 1 << 15
+#: Rows of 40 bytes that may be sent to all executors, and bytes; beyond, joins shuffle both sides.
+SMALL, SMALL_BYTES = 1 << 18, 32 << 20
+#: In place of a null id: such rows come last.
+LAST = (1 << 63) - 1
 
 
-def words_of(line: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+def tokenised(rows: DataFrame, n: int) -> DataFrame:
+    """rows (with a column line) plus tokens: distinct hashes of the line's shingles of n words.
+
+    The words are a column of their own, so that they are made once and looked up by index.
+    """
+    words = F.col("_words")
+    last = F.size(words) - n
+    shingles = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))) if n > 1 else F.transform(words, lambda w: F.xxhash64(w))
+    rows = rows.withColumn("_words", F.filter(F.split(F.lower("line"), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    return rows.withColumn("tokens", F.array_distinct(F.when(last >= 0, shingles).otherwise(F.array(F.xxhash64(F.array_join(words, " "), F.size(words)))))).drop("_words")
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, row_hash, at, line, cls): cls is null for lines without words."""
+    """(id, row_hash, at, line, cls): cls is a hash of the line, null for lines without words."""
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("id"), F.md5(t).alias("row_hash"), F.posexplode(F.split(t, "\n")).alias("at", "line"))
-    rows = rows.withColumn("words", words_of(F.col("line")))
-    return rows.withColumn("cls", F.when(F.size("words") > 0, F.unhex(F.md5(F.array_join(F.array_sort("words"), " ")))))
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(t).alias("row_hash"), F.posexplode(F.split(t, "\n")).alias("at", "line"))
+    return rows.withColumn("cls", F.when(F.col("line").rlike(WORD), F.unhex(F.md5(F.col("line")))))
 
 
 def _literal(numbers: list[int], kind: str) -> Column:
@@ -42,8 +54,9 @@ def _literal(numbers: list[int], kind: str) -> Column:
     return F.from_json(F.lit("[" + ",".join(map(str, numbers)) + "]"), f"array<{kind}>")
 
 
-def _place() -> Column:
-    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("at").alias("at"))
+def _small(rows: DataFrame) -> DataFrame:
+    """rows, to be broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= SMALL else rows
 
 
 def _similar(a: Column, b: Column, num: int, den: int) -> Column:
@@ -51,58 +64,66 @@ def _similar(a: Column, b: Column, num: int, den: int) -> Column:
     return both * den >= (F.size(a) + F.size(b) - both) * num
 
 
-def matches(lines: DataFrame, num: int = 4, den: int = 5, counters: int = COUNTERS) -> DataFrame:
-    """(cls, first): the classes of lines whose first place has an earlier match."""
-    classes = lines.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min(_place()).alias("first"), F.first("words").alias("words"))
-    classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "line-classes")
-    slot = lambda w: F.pmod(F.xxhash64(w), F.lit(counters)).cast("int")
-    counts = [0] * counters
-    for r in classes.select(F.explode("words").alias("w")).groupBy(slot(F.col("w")).alias("k")).count().collect():  # `counters` rows at most
-        counts[r["k"]] = r["count"]
+def _rarity(classes: DataFrame, counters: int) -> Column:
+    """A step of the logarithm of each counter, eight steps to a doubling."""
+    step = F.least(F.lit(255), F.floor(F.log2(F.count("*") + 1) * 8)).cast("int")
+    steps = [0] * counters
+    for r in classes.select(F.explode("tokens").alias("h")).groupBy(F.pmod("h", F.lit(counters)).cast("int").alias("k")).agg(step.alias("s")).collect():  # `counters` rows at most
+        steps[r["k"]] = r["s"]
+    return _literal(steps, "int")
+
+
+def matches(lines: DataFrame, n: int = 5, num: int = 4, den: int = 5, counters: int = COUNTERS) -> DataFrame:
+    """(cls, id, at, late): the first place of each class of lines, and whether that has an earlier match."""
+    place = F.min(F.struct("id", "at")).alias("first")
+    classes = lines.where(F.col("cls").isNotNull()).groupBy("cls").agg(place, F.first("line").alias("line"))
+    classes = written(classes.select("cls", "first.id", "first.at", "line", F.monotonically_increasing_id().alias("c")), "line-classes", "zstd")
     # a token is its rarity and 52 bits of its hash, so arrays of long sort by rarity
-    rarity = _literal([min(2047, int(8 * (n + 1).bit_length() + (8 * (n + 1) >> max((n + 1).bit_length() - 1, 0)) - 8)) for n in counts], "int")
-    packed = F.sort_array(F.transform("words", lambda w: F.get(rarity, slot(w)).cast("long") * (1 << 52) + F.shiftrightunsigned(F.xxhash64(F.lit(5), w), 12)))
-    n = F.size("words")
-    prefix = n - F.ceil(n * F.lit(num) / F.lit(den)).cast("int") + 1
-    postings = classes.select("c", "first", n.alias("n"), F.posexplode(F.slice(packed, 1, prefix)).alias("i", "token"))
-    postings = written(postings.withColumn("many", F.expr("count(*) over (partition by token)")).where("many > 1"), "line-postings")
+    hashed = tokenised(classes.select("c", "id", "at", "line"), n).drop("line")
+    rarity = _rarity(hashed, counters)
+    packed = F.sort_array(F.transform("tokens", lambda h: F.get(rarity, F.pmod(h, F.lit(counters)).cast("int")).cast("long") * (1 << 52) + F.shiftrightunsigned(h, 12)))
+    size = F.size("packed")
+    prefix = size - F.ceil(size * F.lit(num) / F.lit(den)).cast("int") + 1
+    postings = hashed.select("c", "id", "at", packed.alias("packed")).select("c", "id", "at", size.alias("n"), F.posexplode(F.slice("packed", 1, prefix)).alias("i", "token"))
+    postings = written(postings.withColumn("many", F.expr("count(*) over (partition by token)")).where("many > 1").drop("many"), "line-postings")
 
     def near(a: str, b: str) -> Column:
         """Length and positional filters on postings of one token: what may still overlap suffices."""
         rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.i"), F.col(f"{b}.n") - F.col(f"{b}.i")) + F.least(F.col(f"{a}.i"), F.col(f"{b}.i"))
         return rest * (num + den) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * num
 
+    def earlier(a: str, b: str) -> Column:
+        """The place of b is before that of a."""
+        return (F.col(f"{b}.id") < F.col(f"{a}.id")) | ((F.col(f"{b}.id") == F.col(f"{a}.id")) & (F.col(f"{b}.at") < F.col(f"{a}.at")))
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """c of the pairs (c, d) whose word sets match."""
+        """c of the pairs (c, d) whose token sets match."""
         pairs = written(pairs.distinct(), "line-pairs")
-        bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << WANTED))
-        words = [0] * (1 << WANTED - 6)
-        flags = pairs.select(F.explode(F.array("c", "d")).alias("c")).select(bit(F.col("c")).alias("b")).groupBy(F.shiftright("b", 6).cast("int").alias("w"))
-        for r in flags.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("b", F.lit(64)).cast("int"))).alias("m")).collect():  # 2^16 rows at most
-            words[r["w"]] = r["m"]
-        b = bit(F.col("c"))
-        wanted = F.bit_get(F.get(_literal(words, "bigint"), F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
-        sets = classes.where(wanted).select("c", "words")
-        both = pairs.join(sets.withColumnRenamed("words", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("words").alias("y")), "d")
+        wanted = _small(pairs.select(F.explode(F.array("c", "d")).alias("c")).distinct())
+        sets = tokenised(classes.join(wanted, "c", "left_semi").select("c", "line"), n).select("c", "tokens")
+        both = pairs.join(sets.withColumnRenamed("tokens", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("tokens").alias("y")), "d")
         return both.where(_similar(F.col("x"), F.col("y"), num, den)).select("c").distinct()
 
-    heads = postings.groupBy("token").agg(F.min(F.struct("first", "c", "n", "i")).alias("h")).select("token", F.col("h.first").alias("first"), F.col("h.c").alias("d"), F.col("h.n").alias("n"), F.col("h.i").alias("i"))
-    star = postings.alias("p").join(heads.alias("q"), "token").where((F.col("p.first") > F.col("q.first")) & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.d").alias("d"))
+    heads = postings.groupBy("token").agg(F.min(F.struct("id", "at", "c", "n", "i")).alias("h")).select("token", *(F.col(f"h.{x}").alias(x) for x in ("id", "at", "c", "n", "i")))
+    star = postings.alias("p").join(heads.alias("q"), "token").where(earlier("p", "q") & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
     done = written(verified(star), "line-done")
-    open_ = postings.join(done, "c", "left_anti")
-    rest = open_.alias("p").join(postings.alias("q"), "token").where((F.col("p.first") > F.col("q.first")) & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
+    open_ = postings.join(_small(done), "c", "left_anti")
+    rest = open_.alias("p").join(postings.alias("q"), "token").where(earlier("p", "q") & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
     late = done.union(verified(rest))
-    return classes.select("c", "cls", "first").join(late.withColumn("late", F.lit(True)), "c", "left").select("cls", "first", F.coalesce("late", F.lit(False)).alias("late"))
+    return classes.select("c", "cls", "id", "at").join(late.withColumn("late", F.lit(True)), "c", "left").select("cls", "id", "at", F.coalesce("late", F.lit(False)).alias("late"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """docs with the later of matching lines taken out of its text, plus n_lines and removed (their numbers)."""
     lines = _lines(docs, key, text)
-    verdict = matches(lines, num, den)
-    judged = lines.select("id", "row_hash", "at", "cls").where("cls IS NOT NULL").join(verdict, "cls").where(F.col("late") | (_place() > F.col("first")))
-    gone = judged.groupBy("id", "row_hash").agg(F.array_sort(F.collect_set("at")).alias("removed")).select(F.col("id").alias("_id"), "row_hash", "removed")
+    verdict = matches(lines, n, num, den).select("cls", F.col("id").alias("_id"), F.col("at").alias("_at"), "late")
+    later = (F.col("id") > F.col("_id")) | ((F.col("id") == F.col("_id")) & (F.col("at") > F.col("_at")))
+    judged = lines.select("id", "row_hash", "at", "cls").where("cls IS NOT NULL").join(verdict, "cls").where(F.col("late") | later)
+    gone = written(judged.groupBy("id", "row_hash").agg(F.array_sort(F.collect_set("at")).alias("removed")).select(F.col("id").alias("_id"), F.col("row_hash").alias("_hash"), "removed"), "line-gone")
+    if gone.agg(F.coalesce(F.sum(4 * F.size("removed") + 48), F.lit(0))).first()[0] <= SMALL_BYTES:
+        gone = F.broadcast(gone)  # the texts need not be shuffled then
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_hash", F.md5(t)).join(gone, (F.col("_hash") == F.col("row_hash")) & F.col(key).eqNullSafe(F.col("_id")), "left").drop("_hash", "row_hash", "_id")
+    out = docs.join(gone, (F.xxhash64(t) == F.col("_hash")) & (F.coalesce(F.col(key).cast("long"), F.lit(LAST)) == F.col("_id")), "left").drop("_hash", "_id")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     parts = F.split(t, "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(removed, i)), "\n")

@@ -246,9 +246,14 @@ def test_chunks():
 # ---- 4
 
 
-def brute_lines(rows, num=4, den=5):
+def line_tokens(line, n):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", line.lower()) if x]
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
+
+
+def brute_lines(rows, n=5, num=4, den=5):
     """Removed line numbers of each row by the definition."""
-    lines = [(k is None, k or 0, at, frozenset(w for w in re.split(r"[\x20\x09-\x0D]+", x.lower()) if w), i) for i, (k, t) in enumerate(rows) for at, x in enumerate((t or "").split("\n"))]
+    lines = [(k is None, k or 0, at, line_tokens(x, n), i) for i, (k, t) in enumerate(rows) for at, x in enumerate((t or "").split("\n"))]
     out = defaultdict(list)
     for a in lines:
         for b in lines:
@@ -259,23 +264,24 @@ def brute_lines(rows, num=4, den=5):
     return [out[i] for i in range(len(rows))]
 
 
-def check_lines(df, rows):
-    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", list(r["removed"]), r["n_lines"]) for r in line_dedup.dedup_lines(df).collect()))
+def check_lines(df, rows, n=5):
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", list(r["removed"]), r["n_lines"]) for r in line_dedup.dedup_lines(df, n=n).collect()))
     want = []
-    for (k, t), gone in zip(rows, brute_lines(rows)):
+    for (k, t), gone in zip(rows, brute_lines(rows, n)):
         parts = (t or "").split("\n")
         want.append((k is None, k or 0, "\n".join(x for i, x in enumerate(parts) if i not in gone), gone, len(parts)))
     assert got == sorted(want)
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_lines(spark, n):
     rnd = random.Random(3)
     rows = []
     for i, (_, t) in enumerate(near_copies(11, 4, 8)):
         w = t.split()
         cuts = sorted(rnd.sample(range(len(w)), min(3, len(w))))
         rows.append((i, "\n".join(" ".join(w[a:b]) for a, b in zip([0, *cuts], [*cuts, len(w)]))))
-    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows)
+    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows, n)
 
 
 def test_lines_of_awkward_rows(spark, awkward, empty):

@@ -30,16 +30,20 @@ SMALL, SMALL_BYTES = 1 << 18, 32 << 20
 LAST = (1 << 63) - 1
 
 
-def tokenised(rows: DataFrame, n: int) -> DataFrame:
-    """rows (with a column line) plus tokens: distinct hashes of the line's shingles of n words.
+def _let(value: Column, use) -> Column:
+    """use(value) with value made once for each row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    The words are a column of their own, so that they are made once and looked up by index.
-    """
-    words = F.col("_words")
-    last = F.size(words) - n
-    shingles = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))) if n > 1 else F.transform(words, lambda w: F.xxhash64(w))
-    rows = rows.withColumn("_words", F.filter(F.split(F.lower("line"), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    return rows.withColumn("tokens", F.array_distinct(F.when(last >= 0, shingles).otherwise(F.array(F.xxhash64(F.array_join(words, " "), F.size(words)))))).drop("_words")
+
+def tokens_of(line: Column, n: int) -> Column:
+    """Distinct hashes of the shingles of n words of a line."""
+
+    def shingles(words: Column) -> Column:
+        last = F.size(words) - n
+        many = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))) if n > 1 else F.transform(words, lambda w: F.xxhash64(w))
+        return F.array_distinct(F.when(last >= 0, many).otherwise(F.array(F.xxhash64(F.array_join(words, " "), F.size(words)))))
+
+    return _let(F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != ""), shingles)
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -79,12 +83,15 @@ def matches(lines: DataFrame, n: int = 5, num: int = 4, den: int = 5, counters:
     classes = lines.where(F.col("cls").isNotNull()).groupBy("cls").agg(place, F.first("line").alias("line"))
     classes = written(classes.select("cls", "first.id", "first.at", "line", F.monotonically_increasing_id().alias("c")), "line-classes", "zstd")
     # a token is its rarity and 52 bits of its hash, so arrays of long sort by rarity
-    hashed = tokenised(classes.select("c", "id", "at", "line"), n).drop("line")
+    hashed = classes.select("c", "id", "at", tokens_of(F.col("line"), n).alias("tokens"))
     rarity = _rarity(hashed, counters)
     packed = F.sort_array(F.transform("tokens", lambda h: F.get(rarity, F.pmod(h, F.lit(counters)).cast("int")).cast("long") * (1 << 52) + F.shiftrightunsigned(h, 12)))
-    size = F.size("packed")
-    prefix = size - F.ceil(size * F.lit(num) / F.lit(den)).cast("int") + 1
-    postings = hashed.select("c", "id", "at", packed.alias("packed")).select("c", "id", "at", size.alias("n"), F.posexplode(F.slice("packed", 1, prefix)).alias("i", "token"))
+
+    def head(tokens: Column) -> Column:
+        size = F.size(tokens)
+        return F.struct(size.alias("n"), F.slice(tokens, 1, size - F.ceil(size * F.lit(num) / F.lit(den)).cast("int") + 1).alias("first"))
+
+    postings = hashed.select("c", "id", "at", _let(packed, head).alias("x")).select("c", "id", "at", "x.n", F.posexplode("x.first").alias("i", "token"))
     postings = written(postings.withColumn("many", F.expr("count(*) over (partition by token)")).where("many > 1").drop("many"), "line-postings")
 
     def near(a: str, b: str) -> Column:
@@ -100,7 +107,7 @@ def matches(lines: DataFrame, n: int = 5, num: int = 4, den: int = 5, counters:
         """c of the pairs (c, d) whose token sets match."""
         pairs = written(pairs.distinct(), "line-pairs")
         wanted = _small(pairs.select(F.explode(F.array("c", "d")).alias("c")).distinct())
-        sets = tokenised(classes.join(wanted, "c", "left_semi").select("c", "line"), n).select("c", "tokens")
+        sets = classes.join(wanted, "c", "left_semi").select("c", tokens_of(F.col("line"), n).alias("tokens"))
         both = pairs.join(sets.withColumnRenamed("tokens", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("tokens").alias("y")), "d")
         return both.where(_similar(F.col("x"), F.col("y"), num, den)).select("c").distinct()
 

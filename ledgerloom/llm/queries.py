@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc32_of_id, shared_dir
+from .templates import UNITS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,7 @@ def op1_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import join
 
-    return join(_table(spark, sf_dir, "documents"))
+    return join(_table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 def op3_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,5 +117,63 @@ FROM p LEFT JOIN w ON p.body = w.body AND p.n >= 1000 AND p.page_id IS NOT NULL
 """
 
 
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END) AS g FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r(x, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.y, r.root FROM r JOIN l ON r.x = l.x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id, coalesce(any_value(k.n), 0) AS n_links
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.x = d.doc_id LEFT JOIN (SELECT x, count(*) AS n FROM l GROUP BY x) k ON k.x = d.doc_id GROUP BY d.doc_id
+"""
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS (SELECT doc_id, string_split(t, chr(10)) AS parts FROM d),
+l AS (SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line, len(parts) AS n_lines FROM raw),
+k AS (SELECT line, min((doc_id, pos)) AS head, list_filter(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM l GROUP BY line),
+g AS (SELECT line, head, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' '))) END AS w FROM k),
+c AS (SELECT *, row_number() OVER (ORDER BY head, line) AS c, len(w) AS n FROM g WHERE len(w) > 0),
+f AS (SELECT w, count(*) AS f FROM (SELECT unnest(w) AS w FROM c) GROUP BY w),
+o AS (SELECT c.c, c.n, c.head, u.w, row_number() OVER (PARTITION BY c.c ORDER BY f.f, u.w) AS i FROM c, unnest(c.w) AS u(w) JOIN f ON f.w = u.w),
+p AS (SELECT * FROM o WHERE i <= n - CAST(ceil(n * 4 / 5.0) AS BIGINT) + 1),
+pair AS (SELECT DISTINCT a.c AS x, b.c AS y FROM p a JOIN p b ON a.w = b.w AND b.head < a.head AND least(a.n, b.n) * 5 >= greatest(a.n, b.n) * 4),
+late AS (SELECT DISTINCT x FROM pair JOIN c a ON a.c = x JOIN c b ON b.c = y WHERE len(list_intersect(a.w, b.w)) * 5 >= (a.n + b.n - len(list_intersect(a.w, b.w))) * 4),
+j AS (SELECT l.doc_id, l.pos, l.line, l.n_lines, c.c IS NOT NULL AND (late.x IS NOT NULL OR (l.doc_id, l.pos) > c.head) AS gone FROM l LEFT JOIN c ON c.line = l.line LEFT JOIN late ON late.x = c.c),
+q AS (SELECT doc_id, any_value(n_lines) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (gone), '') AS removed_lines, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM j GROUP BY doc_id)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, n_removed, removed_lines, CAST(octet_length(encode(kept)) AS BIGINT) AS kept_bytes, md5(kept) AS kept_md5 FROM q
+"""
+
+def _tokens_sql(column: str) -> str:
+    """The tokens of templates.tokens in DuckDB: its patterns cannot look behind, so they take what is before along."""
+    t = f"translate(coalesce({column}, ''), chr(1) || chr(2) || chr(3), '   ')"
+    for _ in range(2):  # names in a row share what is between them
+        t = f"regexp_replace({t}, '([\\p{{L}}\\p{{N}},;] )(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(2) || '\\2', 'g')"
+    t = f"regexp_replace({t}, '([0-9] ?)({'|'.join(u for u in UNITS if u.isalpha())})([^\\p{{L}}\\p{{M}}]|$)', '\\1' || chr(3) || '\\2\\3', 'g')"
+    t = f"regexp_replace({t}, '([0-9] ?)([%$€£°])', '\\1' || chr(3) || '\\2', 'g')"
+    t = f"regexp_replace({t}, '[0-9]+(?:[.,:][0-9]+)*', ' ' || chr(1) || '\\0 ', 'g')"
+    return f"regexp_extract_all({t}, '[\\x01\\x02\\x03]?[\\p{{L}}\\p{{M}}]+|\\x01[0-9][0-9.,:]*|\\x03[%$€£°]')"
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, {tokens} AS t FROM documents), b AS (SELECT item_id, {tokens} AS t FROM benchmark),
+bw AS (SELECT item_id, least(len(t), 8) AS n, t, unnest(range(len(t) - least(len(t), 8) + 1)) AS j FROM b WHERE len(t) >= 4),
+bs AS (SELECT item_id, n, j, t[j + 1 : j + n] AS said FROM bw WHERE len(list_filter(t[j + 1 : j + n], lambda x: x >= chr(4))) >= 3),
+bk AS (SELECT *, array_to_string(list_transform(said, lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE lower(x) END), ' ') AS w, count(*) OVER (PARTITION BY item_id) AS windows FROM bs),
+dw AS (SELECT doc_id, n, t, unnest(range(len(t) - n + 1)) AS pos FROM d, (SELECT DISTINCT n FROM bk) WHERE len(t) >= n),
+dk AS (SELECT doc_id, n, pos, t[pos + 1 : pos + n] AS has, array_to_string(list_transform(t[pos + 1 : pos + n], lambda x: CASE WHEN x < chr(4) THEN x[1] ELSE lower(x) END), ' ') AS w FROM dw),
+hit AS (SELECT doc_id, item_id, windows, n, j, pos - j AS shift, said, has FROM dk JOIN bk USING (w, n)),
+slot AS (SELECT DISTINCT doc_id, item_id, shift, said[k] AS a, has[k] AS b FROM (SELECT *, unnest(range(1, n + 1)) AS k FROM hit) WHERE said[k] < chr(4)),
+fit AS (SELECT doc_id, item_id, shift, count(*) AS slots, count(DISTINCT a) AS values, count(*) FILTER (a <> b) AS changed FROM slot GROUP BY ALL),
+run AS (SELECT doc_id, item_id, shift, any_value(windows) AS windows, list(DISTINCT j) AS js FROM hit GROUP BY ALL),
+good AS (SELECT run.*, coalesce(slots, 0) AS slots, coalesce(changed, 0) AS changed FROM run LEFT JOIN fit USING (doc_id, item_id, shift) WHERE coalesce(slots = values, true)),
+found AS (SELECT doc_id, item_id, any_value(windows) AS windows, CAST(len(list_distinct(flatten(list(js)))) AS BIGINT) AS matched, CAST(sum(slots) AS BIGINT) AS slots, CAST(sum(changed) AS BIGINT) AS changed FROM good GROUP BY ALL)
+SELECT doc_id, item_id, windows, matched, matched / CAST(windows AS DOUBLE) AS coverage, slots, changed FROM found WHERE matched / CAST(windows AS DOUBLE) >= 0.5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_reassembly": OP3_SQL}
+    return {"op2_ngram_jaccard_join": OP2_SQL, "op3_warc_reassembly": OP3_SQL, "op4_line_similarity_dedup": OP4_SQL, "op9_template_decontamination": OP9_SQL.replace("{tokens}", _tokens_sql("text"))}

@@ -89,17 +89,25 @@ class Model:
         return self.kernel(x) @ self.weights[:-1] + self.weights[-1], some
 
 
-def fit(texts: list[dict[int, np.ndarray]], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
-    """Kernel ridge regression on Nyström features; rows must come in a fixed order."""
+def _dense(bits: np.ndarray) -> dict[int, np.ndarray]:
+    """n-gram tables of rows of packed bits."""
+    flat, at, out = np.unpackbits(bits, axis=1), 0, {}
+    for n, size in TABLES.items():
+        out[n] = flat[:, at : at + size].astype(np.float32)
+        at += size
+    return out
+
+
+def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
+    """Kernel ridge regression on Nyström features of rows of packed bits; rows must come in a fixed order."""
     classes = sorted(set(langs))
     if not classes:
         return None
-    x = {n: np.concatenate([t[n] for t in texts]) for n in TABLES}
     # landmarks in turn from each language
     turn = {c: [i for i, v in enumerate(langs) if v == c] for c in classes}
     order = [i for k in range(max(map(len, turn.values()))) for c in classes for i in turn[c][k : k + 1]][:landmarks]
-    model = Model({n: v[order] for n, v in x.items()}, classes, np.empty(0))
-    k = np.concatenate([model.kernel({n: v[a : a + 256] for n, v in x.items()}) for a in range(0, len(langs), 256)]).astype(float)
+    model = Model(_dense(bits[order]), classes, np.empty(0))
+    k = np.concatenate([model.kernel(_dense(bits[a : a + 64])) for a in range(0, len(langs), 64)]).astype(float)
     value, vector = np.linalg.eigh(k[order])
     good = value > 1e-6 * value.max()
     root = vector[:, good] / np.sqrt(value[good])  # maps kernel values to Nyström features
@@ -109,7 +117,7 @@ def fit(texts: list[dict[int, np.ndarray]], langs: list[str], landmarks: int = L
     balance *= len(langs) / balance.sum()
     gram = features.T @ (features * balance[:, None]) + ridge * np.eye(features.shape[1])
     w = np.linalg.solve(gram, features.T @ (y * balance[:, None]))
-    model.weights = np.concatenate([root @ w[:-1], w[-1:]])
+    model.weights, model._dense = np.concatenate([root @ w[:-1], w[-1:]]), None
     return model
 
 
@@ -142,15 +150,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
         if len(mine := kept.setdefault(r["l"], [])) < sample and (not mine or mine[-1]["h"] != r["h"]):
             mine.append(r)
     rows = [r for v in kept.values() for r in v]
-    sizes, out = list(TABLES.items()), []
-    for r in rows:
-        bits, at = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8)).astype(np.float32), 0
-        x = {}
-        for n, size in sizes:
-            x[n] = bits[None, at : at + size]
-            at += size
-        out.append(x)
-    return fit(out, [r["l"] for r in rows])
+    bits = np.array([np.frombuffer(bytes(r["bits"]), np.uint8) for r in rows], np.uint8).reshape(len(rows), -1)
+    return fit(bits, [r["l"] for r in rows])
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", characters: int = 400_000) -> DataFrame:

@@ -45,9 +45,18 @@ def op3_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_similarity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_dedup(spark, sf_dir, 5)
+
+
+def op4_word_similarity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with single words as tokens of a line."""
+    return _line_dedup(spark, sf_dir, 1)
+
+
+def _line_dedup(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     from .line_dedup import dedup_lines
 
-    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), n=n)
     kept = F.coalesce(F.col("text"), F.lit(""))
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.md5(kept).alias("kept_md5"))
 
@@ -101,7 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search, pipeline)}
+    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op4_word_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search, pipeline)}
 
 
 OP3_SQL = """

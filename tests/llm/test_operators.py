@@ -299,6 +299,14 @@ def test_lines_query(spark):
         assert (r["n_lines"], r["n_removed"], r["kept_md5"]) == (len(parts), len(gone[r["doc_id"]]), hashlib.md5(kept.encode()).hexdigest())
 
 
+def test_word_lines_query(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    words_gone, shingles_gone = (dict(zip(docs, brute_lines(list(docs.items()), n))) for n in (1, 5))
+    got = {r["doc_id"]: r["removed_lines"] for r in run(spark, "op4_word_similarity_dedup")}
+    assert got == {i: ",".join(map(str, gone)) for i, gone in words_gone.items()}
+    assert sum(map(len, words_gone.values())) > sum(map(len, shingles_gone.values()))
+
+
 # ---- 5
 
 

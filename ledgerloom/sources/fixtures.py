@@ -156,13 +156,14 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def committee(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members of every epoch of orders."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("idx"), F.round((F.col("s_acctbal") + 1000) * 100).cast("bigint").alias("stake"))
-    return s.select(F.explode(F.array(*(F.lit(e).cast("bigint") for e in range(4)))).alias("epoch"), "idx", "stake")
+    return piece(spark, sf_dir, TX).select("epoch").distinct().crossJoin(s).select("epoch", "idx", "stake")
 
 
 def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signatures of checkpoints 0 to 199; a member signs by a rule on its position."""
-    cp = piece(spark, sf_dir, TX).where("checkpoint_seq < 200").select("checkpoint_seq", "epoch").distinct()
-    n = table(spark, sf_dir, "supplier").agg(F.array_sort(F.collect_list(F.col("s_suppkey").cast("int"))).alias("all"))
-    seq = F.col("checkpoint_seq")
-    return cp.join(F.broadcast(n)).select(seq.alias("seq"), "epoch", F.col("epoch").alias("sig_epoch"), F.filter("all", lambda i: (i * 7 + seq) % 10 < 4 + seq % 5).alias("signers"))
+    """Signatures of all checkpoints; a member signs by a rule on its position."""
+    cp = piece(spark, sf_dir, TX).select(F.col("checkpoint_seq").alias("seq"), "epoch").distinct()
+    members = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("i"))
+    signed = cp.join(members, (F.col("i") * 7 + F.col("seq")) % 10 < 4 + F.col("seq") % 5, "left")
+    return signed.groupBy("seq", "epoch").agg(F.collect_list("i").alias("signers")).select("seq", "epoch", F.col("epoch").alias("sig_epoch"), "signers")

@@ -4,7 +4,8 @@ A product quantiser with 16 centroids for each pair of dimensions is trained for
 product: the part of a residual that is parallel to its vector costs eta times as much as the
 orthogonal part, in the choice of codes as well as in the centroids. Two four-bit codes share a
 byte. All rows are encoded. A query block scans the codes of a row block by table look-ups; the
-best of each block are scored exactly, in double precision, and the best of all blocks returned.
+best of each block are scored exactly, in double precision, then all others whose look-up lies
+within its proven error of the k-th exact score. So the best of all blocks are the true ones.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do vectors whose length is not the most frequent one (ties: the larger). Ties of the
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: Rows of the training sample, at most.
 SAMPLE = 16_384
-#: Rows and queries of a block, and how many of a row block are scored exactly.
+#: Rows and queries of a block, and how many of a row block are scored exactly at first.
 ROWS, QUERIES, RERANK = 32_768, 2_048, 128
 
 
@@ -105,6 +106,13 @@ class Quantiser:
             out.append(codes[:, 0::2] | codes[:, 1::2] << 4)
         return np.concatenate(out) if out else np.empty((0, self.parts // 2), np.uint8)
 
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """The padded vectors that the bytes of encode stand for."""
+        out = np.empty((len(codes), self.parts, 2))
+        for m in range(self.parts):
+            out[:, m] = self.books[m][codes[:, m // 2] >> 4 * (m % 2) & 15]
+        return out.reshape(len(codes), self.dims)
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """For each query and byte the sums that its 256 values stand for."""
         q = self.padded(q).reshape(len(q), self.parts, 2)
@@ -122,19 +130,57 @@ def best_of(scores: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == edge)[: k - len(above)]])
 
 
+class Errors:
+    """Bounds of what look-ups may miss, for the rows of a block.
+
+    With x = |x| u the code of a row is g u + w, w orthogonal to u, and its look-up is g c + q.w with
+    c = q.u = score / |x|. As |q.w| <= |w| sqrt(|q|^2 - c^2), a row of score s or more (s >= 0, g >= 0)
+    has a look-up of g c - |w| sqrt(|q|^2 - c^2) or more at c = s / |x|, which grows with c.
+    Any row's look-up is at most |q| |x - code| below its score.
+    """
+
+    def __init__(self, model: Quantiser, x: np.ndarray, codes: np.ndarray):
+        self.norm, self.g, self.w, self.r = (np.empty(len(x)) for _ in range(4))
+        for k in range(0, len(x), 8192):
+            at, part, y = slice(k, k + 8192), model.padded(x[k : k + 8192]), model.decode(codes[k : k + 8192])
+            self.norm[at] = np.linalg.norm(part, axis=1)
+            u = part / self.norm[at, None]
+            self.g[at] = (y * u).sum(1)
+            self.w[at] = np.linalg.norm(y - self.g[at, None] * u, axis=1)
+            self.r[at] = np.linalg.norm(part - y, axis=1)
+
+    def least(self, score: float, size: float) -> np.ndarray:
+        """The least look-up that a row of this score or more can have, for a query of norm `size`."""
+        plain = score - size * self.r
+        if not score >= 0:
+            return plain
+        c = score / self.norm
+        return np.where(self.g >= 0, np.fmax(plain, self.g * c - self.w * np.sqrt(np.maximum(size * size - c * c, 0) + 1e-12 * size * size)), plain)
+
+
 def scan(model: Quantiser, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, rerank: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each query its k best of the rows; ids must ascend."""
+    """For each query its k best of the rows; ids must ascend. `rerank` rows are scored at first, and as many more as it takes."""
     columns, out = np.ascontiguousarray(codes.T), []
+    errors = Errors(model, x, codes)
     for a in range(0, len(q), 32):
         tables = model.tables(q[a : a + 32])
-        for t, qid, v in zip(tables, qids[a : a + 32], q[a : a + 32]):
+        for t, qid, v in zip(tables, qids[a : a + 32], q[a : a + 32].astype(np.float64)):
             rough = t[0][columns[0]]
             for j in range(1, len(columns)):
                 rough += t[j][columns[j]]
-            rough[ids == qid] = -np.inf
-            some = best_of(rough, rerank)
-            some = some[ids[some] != qid]
-            exact = x[some].astype(np.float64) @ v.astype(np.float64)
+            own = ids == qid
+            rough[own] = -np.inf
+            some = best_of(rough, max(rerank, k + 1))
+            some = some[~own[some]]
+            exact = x[some].astype(np.float64) @ v
+            if len(some) + own.sum() < len(ids):
+                size, edge = np.linalg.norm(v), np.partition(exact, len(exact) - k)[len(exact) - k] if len(exact) >= k else -np.inf
+                # what single precision may lose in tables and sums, and double in bounds
+                slack = 2.0**-23 * (len(columns) + 4) * np.abs(t).max(1).sum(dtype=np.float64) + 1e-9 * (abs(edge) + size * (errors.norm + errors.r))
+                rest = ~(rough < errors.least(edge, size) - slack) & ~own
+                rest[some] = False
+                more = np.flatnonzero(rest)
+                some, exact = np.concatenate([some, more]), np.concatenate([exact, x[more].astype(np.float64) @ v])
             top = np.lexsort((ids[some], -exact))[:k]
             out.append((np.full(len(top), qid), ids[some][top], exact[top]))
     return out

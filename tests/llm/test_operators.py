@@ -519,6 +519,23 @@ def test_recall(spark):
     assert np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("d, scale", [(64, 1.0), (7, 30.0)])
+def test_near_copies_in_a_full_block(d, scale):
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(ann.ROWS, d)) * scale
+    x[:3000] = x[0] + rnd.normal(size=(3000, d)) * 1e-3  # more than are scored at first, of almost the same codes
+    x[3000:3200] = x[3000]
+    x[3200:3300] *= -1e-3
+    ids = np.arange(len(x))
+    model = ann.Quantiser(x[:: len(x) // 4096])
+    at = np.array([0, 1500, 2999, 3000, 3100, 3250, 20_000, 30_000])
+    for qid, (_, got, scores) in zip(at, ann.scan(model, ids, x, model.encode(x), at, x[at], 20, ann.RERANK)):
+        truth = x @ x[qid]
+        truth[qid] = -np.inf
+        assert len(set(got)) == 20 and qid not in got
+        assert np.allclose(np.sort(scores), np.sort(truth)[-20:], rtol=1e-12) and np.allclose(truth[got], scores, rtol=1e-12)
+
+
 def test_vectors_of_all_kinds(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [(0, [1.0, 0.0, 2.0]), (20, [0.5, 0.5, 0.5]), (1, [3.0, 0.0, 1.0]), (2, None), (3, [0.0, 0.0, 0.0]), (40, [0.0, 0.0, 0.0]), (4, [nan, 1.0, 1.0]), (5, [inf, 1.0, 1.0]), (6, [None, 1.0, 1.0]), (7, []), (8, [1.0, 0.0, 2.0]), (9, [1.0, 0.0, 2.0]), (60, None)]

@@ -7,9 +7,13 @@ are hashed and joined with the windows of the benchmark. A match at an offset co
 are consistent: along the offset each value of the item stands for one value in the document, so
 a question with other numbers or names is caught, a chance hit of placeholders is not.
 
-Defined results: a null or empty text matches nothing; an item of fewer tokens than a window is
-one window of its own length (least 4), a shorter one matches nothing; windows with fewer than
-`literal` plain words are not used; repeated rows are judged one by one.
+Beside the templates, passages are found as they are: a document that holds `run` words and numbers
+of an item in a row, in any case and with any punctuation, is reported whatever the coverage, and
+so is one that holds the whole of an item with fewer. Scripts without spaces count by characters.
+
+Defined results: a null or empty text matches nothing; among templates an item of fewer tokens than
+a window is one window of its own length (least 4), and windows with fewer than `literal` plain words
+are not used, so such items are found as they are only; repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 #: Units of measure and money. Fixed values.
 UNITS = ["mm", "cm", "dm", "m", "km", "mg", "g", "kg", "t", "ml", "cl", "l", "s", "sec", "min", "h", "hours", "minutes", "seconds", "days", "years", "miles", "feet", "inches", "pounds", "ounces", "dollars", "euros", "cents", "percent", "%", "$", "€", "£", "°"]
 TOKEN = f"[{NUMBER}{NAME}{UNIT}]?[\\p{{L}}\\p{{M}}]+|{NUMBER}[0-9][0-9.,:]*|{UNIT}[%$€£°]"
+#: Scripts that put no spaces between words, and what counts as a word of a passage.
+UNSPACED = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}"
+PASSAGE = f"[{UNSPACED}]|[\\p{{L}}\\p{{M}}&&[^{UNSPACED}]]+|\\p{{N}}+(?:[.,:]\\p{{N}}+)*|[%$€£°]"
 #: Rows of the benchmark's windows that may be sent to all executors.
 SMALL = 1 << 20
 
@@ -54,11 +61,30 @@ def _exploded(rows: DataFrame, lengths: list[int], keep: list[str]) -> DataFrame
     return rows.select(*keep, "toks", F.explode(arrays).alias("x")).select(*keep, "toks", "x.n", "x.at", "x.w")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", window: int = 8, cover: float = 0.5, literal: int = 3) -> DataFrame:
-    """Pairs of a document and an item whose windows it holds to a share of `cover` or more.
+def _copied(docs: DataFrame, items: DataFrame, key: str, item: str, text: str, run: int) -> DataFrame:
+    """Pairs of a document and an item of which it holds `run` words in a row, or all if there are fewer; windows are of that length."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(PASSAGE), F.lit(0))
+    hashed = F.transform("toks", lambda t: F.xxhash64(t))
+    bench = items.select(F.col(item).alias("item"), words.alias("toks")).where(F.size("toks") > 0).withColumn("h", hashed)
+    own = F.least(F.size("toks"), F.lit(run))
+    lengths = sorted(r["n"] for r in bench.select(own.alias("n")).distinct().collect()) or [run]  # at most `run` lengths
+    bench = _exploded(bench, lengths, ["item"]).where(F.col("n") == own)
+    bench = bench.select("item", "n", F.col("at").alias("j"), "w", F.slice("toks", F.col("at") + 1, F.col("n")).alias("said")).withColumn("windows", F.expr("count(*) over (partition by item)"))
+    if bench.count() <= SMALL:
+        bench = F.broadcast(bench)
+    rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("row_hash"), F.monotonically_increasing_id().alias("row"), words.alias("toks")).withColumn("h", hashed)
+    hits = _exploded(rows, lengths, ["id", "row_hash", "row"]).join(bench, ["w", "n"]).where(F.slice("toks", F.col("at") + 1, F.col("n")) == F.col("said"))
+    found = hits.groupBy("row", "item").agg(F.first("id").alias("id"), F.first("row_hash").alias("row_hash"), F.first("windows").alias("windows"), F.size(F.collect_set("j")).cast("long").alias("matched"))
+    none = F.lit(0).cast("long")
+    return found.select("id", "item", "windows", "matched", (F.col("matched") / F.col("windows")).alias("coverage"), none.alias("slots"), none.alias("changed"), "row_hash")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", window: int = 8, cover: float = 0.5, literal: int = 3, run: int = 13) -> DataFrame:
+    """Pairs of a document and an item whose windows it holds to a share of `cover` or more, or of which it holds `run` words in a row.
 
     Columns: key, item, windows (of the item), matched, coverage, slots and changed (slots of the
-    match whose values differ), row_hash (of the document's text, for joins with docs).
+    match whose values differ), row_hash (of the document's text, for joins with docs). Pairs that
+    only the run finds have its windows and no slots.
     """
     bench = items.select(F.col(item).alias("item"), tokens(F.col(text)).alias("toks")).withColumn("h", _hashes(F.col("toks")))
     sizes = [r["n"] for r in bench.where(F.size("toks") >= 4).select(F.least(F.size("toks"), F.lit(window)).alias("n")).distinct().collect()]  # at most window - 3 lengths
@@ -83,4 +109,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: s
         F.sum(F.size(F.filter("s", lambda x: x.a != x.b))).alias("changed"),
     )
     found = found.withColumn("coverage", F.col("matched") / F.col("windows")).where(F.col("coverage") >= cover)
-    return found.select(F.col("id").alias(key), F.col("item").alias(item), F.col("windows").cast("long").alias("windows"), "matched", "coverage", F.col("slots").cast("long").alias("slots"), F.col("changed").cast("long").alias("changed"), "row_hash")
+    found = found.select("id", "item", F.col("windows").cast("long").alias("windows"), "matched", "coverage", F.col("slots").cast("long").alias("slots"), F.col("changed").cast("long").alias("changed"), "row_hash")
+    # rows of one id and text have one verdict, so the two ways need not share row numbers
+    copied, known = _copied(docs, items, key, item, text, run).alias("c"), found.select("id", "item", "row_hash").distinct().alias("f")
+    copied = copied.join(known, F.col("c.id").eqNullSafe(F.col("f.id")) & F.col("c.item").eqNullSafe(F.col("f.item")) & (F.col("c.row_hash") == F.col("f.row_hash")), "left_anti")
+    return found.unionByName(copied).withColumnsRenamed({"id": key, "item": item})

@@ -492,6 +492,19 @@ def test_templates_of_awkward_rows(spark, awkward):
     assert {(r["doc_id"], r["item_id"]) for r in templates.contaminated(awkward, items).collect()} == {(None, 1), (7, 2)}
 
 
+def test_passages(spark):
+    q = " ".join(f"{a}{b}" for a in ("lor", "mip", "sud", "dol", "tam", "ver", "nec") for b in ("a", "eb", "ic", "od", "uf", "ag", "ih", "oj"))
+    w = q.split()
+    items = spark.createDataFrame([(1, q), (2, "12 + 30 = 42, 7 + 8 = 15"), (3, "Paris, London"), (4, "水的沸点是多少度"), (5, "Marie Curie Won Two Nobel Prizes"), (6, None), (7, "?!")], "item_id long, text string")
+    texts = [
+        "before it " + " ".join(w[10:42]) + " after it", "so " + " ".join(w[3:16]) + ".", "so " + " ".join(w[3:15]) + ".", "sums: 12 + 30 = 42, 7 + 8 = 15 it is", "sums: 12 + 30 = 42, 7 + 8 = 16 it is",
+        "in paris London they", "london paris", "请问水的沸点是多少度呢", "水的沸点", "that marie curie won two nobel prizes", None, q,
+    ]
+    df = docs_of(spark, [(i, t, "x", None, None) for i, t in enumerate(texts)] + [(None, texts[1], "x", None, None)] * 2)
+    got = Counter((r["doc_id"], r["item_id"]) for r in templates.contaminated(df, items).collect())
+    assert got == Counter([(0, 1), (1, 1), (3, 2), (5, 3), (7, 4), (9, 5), (11, 1), (None, 1), (None, 1)])
+
+
 # ---- 10
 
 

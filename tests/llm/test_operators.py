@@ -505,6 +505,18 @@ def test_passages(spark):
     assert got == Counter([(0, 1), (1, 1), (3, 2), (5, 3), (7, 4), (9, 5), (11, 1), (None, 1), (None, 1)])
 
 
+def test_sifting_loses_nothing(spark, monkeypatch):
+    rnd = random.Random(4)
+    vocab = ["the", "Bob", "Ann", "12", "7.5", "kg", "$", "of", "水", "ab", "cd", "ef", "gh", "ij", "kl", "mn", "é", "x1y", ","]
+    draw = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    items = [(i, draw(rnd.choice([1, 2, 3, 4, 6, 9, 14, 25]))) for i in range(25)]
+    texts = [f"{draw(6)} {x.upper() if i % 3 == 0 else x.replace('Bob', 'Eve').replace('12', '31')} {draw(4)}" for i, x in items] + [draw(40) for _ in range(20)]
+    df, bench = docs_of(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string")
+    sifted = Counter(map(tuple, templates.contaminated(df, bench).collect()))
+    monkeypatch.setattr(templates, "sifted", lambda docs, *more: docs)
+    assert sifted == Counter(map(tuple, templates.contaminated(df, bench).collect())) and len(sifted) > 15
+
+
 # ---- 10
 
 

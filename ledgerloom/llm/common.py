@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Where the setting is absent (tests, a single machine) a temporary folder is set once.
+    Where the setting is absent a temporary folder is set once, on a single machine only.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("ledgerloom.shared.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("ledgerloom.shared.dir", found)
     return found.rstrip("/")
@@ -33,6 +36,13 @@ def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Let Arrow batches to Python hold `size` bytes at most, where Spark's own settings name no bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(size))
+
+
 def crc32_of_id(name: str = "doc_id") -> Column:
     """crc32 of the id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))

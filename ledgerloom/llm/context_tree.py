@@ -11,8 +11,8 @@ bytes, so the trees below a range are built in one place; the two upper levels n
 65,280 rows at most. Scoring looks strings up in a table of bounded size. Strings and words that do
 not fit it, the rarest ones, are joined. So any model size works, and nothing is dropped.
 
-Words, for the base line, are runs of bytes other than ASCII white space; every text has one end
-token more.
+Words, for the base line, are runs of bytes other than ASCII white space, compared by 64-bit hashes;
+every text has one end token more.
 
 Defined results: a null text is an empty one; without training texts all estimates are even.
 Repeated rows are scored one by one.
@@ -20,7 +20,6 @@ Repeated rows are scored one by one.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,16 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, written
+from .common import bounded_batches, mix64, word_hashes, written
 
 DEPTH = 5
 #: Byte that stands for the end of a text and fills the context at its start; UTF-8 has no such byte.
 END = 0xFF
 #: Entries of the look-up tables, at most.
-STRINGS, WORDS = 1 << 22, 1 << 19
-CHARACTERS = 1_500_000
-#: Distinct strings that a task holds before it hands them on.
-HOLD = 3 << 19
+STRINGS, WORDS = 3 << 20, 1 << 19
+CHARACTERS = 1_000_000
+#: Distinct strings, and words, that a task holds before it hands them on.
+HOLD = 1 << 20
+#: In place of a word's hash: the end of a text.
+LAST_TOKEN = 0
 _U = np.uint64
 _LN2 = float(np.log(2.0))
 
@@ -163,8 +164,8 @@ class Table:
     def __init__(self, code: np.ndarray, value: np.ndarray):
         h = mix64(code)
         order = np.argsort(h)
-        self.bits = max(4, int(len(code)).bit_length() + 1)
-        self.code, self.value = np.append(code[order], _U(0)), np.append(value[order], 0).astype(np.float32)
+        self.bits = max(4, int(len(code)).bit_length())
+        self.code, self.value = np.append(code[order], _U(0)), np.append(value[order], 0.0)
         self.first = np.searchsorted(h[order] >> _U(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=_U)).astype(np.int32)
 
     def get(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,6 +207,21 @@ def _batches(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
         lo = hi
 
 
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts and of the end of each; and where each text begins."""
+    h, begin = word_hashes(b"\n".join(texts))
+    start = np.cumsum([0] + [len(x) + 1 for x in texts])
+    ends = np.searchsorted(begin, start[1:])
+    return np.insert(h, ends, _U(LAST_TOKEN)), np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
+
+
+def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.ListArray:
+    """values in n lists, by owner."""
+    order = np.argsort(owner, kind="stable")
+    ends = np.searchsorted(owner[order], np.arange(n + 1))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[order].view(np.int64)))
+
+
 def _totals(code: np.ndarray, learn: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sum by string."""
     order = np.argsort(code, kind="stable")
@@ -215,12 +231,17 @@ def _totals(code: np.ndarray, learn: np.ndarray, times: np.ndarray) -> tuple[np.
 
 
 def count(docs: DataFrame, ranges: int) -> DataFrame:
-    """Rows of packed string counts (k, blob) and of training words (word, n) from docs (text, learn)."""
+    """Rows of packed string counts (k, blob) and of hashed training words (word, n) from docs (text, learn)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
+        words: list[tuple] = []
         held: list[tuple] = []
 
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            h, n = (np.concatenate(x) for x in zip(*words))
+            h, at = np.unique(h, return_inverse=True)
+            return h, np.bincount(at, n, len(h)).astype(np.int64)
+
         def strings() -> Iterator[pa.RecordBatch]:
             code, learn, times = _totals(*(np.concatenate(x) for x in zip(*held)))
             k = ranges_of(code, ranges)
@@ -228,14 +249,13 @@ def count(docs: DataFrame, ranges: int) -> DataFrame:
             edges = np.searchsorted(k[order], np.arange(ranges + 1))
             some = [i for i in range(ranges) if edges[i] < edges[i + 1]]
             blobs = [b"".join(v[order[edges[i] : edges[i + 1]]].astype(np.int64).tobytes() for v in (code, learn, times)) for i in some]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64())], names=names)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            items = list(words.items())
-            words.clear()
-            for a in range(0, len(items), 100_000):
-                w, n = zip(*items[a : a + 100_000])
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int32()), pa.nulls(len(w), pa.binary()), pa.array(w, pa.binary()), pa.array(n, pa.int64())], names=names)
+            h, n = merged()
+            for a in range(0, len(h), 100_000):
+                w = h[a : a + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int32()), pa.nulls(len(w), pa.binary()), pa.array(w), pa.array(n[a : a + 100_000])], names=names)
 
         names = ["k", "blob", "word", "n"]
         for b in batches:
@@ -251,17 +271,20 @@ def count(docs: DataFrame, ranges: int) -> DataFrame:
                     if len(held[0][0]) > HOLD // 2:
                         yield from strings()
                         held = []
-                for x, yes in zip(texts, learns[lo : lo + len(texts)]):
-                    if yes:
-                        words.update(x.split())
-                        words[b""] += 1  # the end
-                if len(words) > HOLD // 6:
-                    yield from flush()
+                h, start = words_of(texts)
+                h, n = np.unique(h[np.repeat(learns[lo : lo + len(texts)], np.diff(start))], return_counts=True)
+                words.append((h, n))
+                if sum(len(x[0]) for x in words) > HOLD:
+                    words = [merged()]
+                    if len(words[0][0]) > HOLD // 2:
+                        yield from flush()
+                        words = []
         if held:
             yield from strings()
-        yield from flush()
+        if words:
+            yield from flush()
 
-    return docs.select("text", "learn").mapInArrow(run, "k int, blob binary, word binary, n bigint")
+    return docs.select("text", "learn").mapInArrow(run, "k int, blob binary, word bigint, n bigint")
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -317,6 +340,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", learn: str =
     Rows whose `learn` is true are the training texts; all rows are scored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.coalesce(F.col(learn), F.lit(False)).alias("learn"))
     kind = docs.schema["id"].dataType.simpleString()
     ranges = max(32, docs.count() >> 12)
@@ -325,7 +349,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", learn: str =
     vocabulary = written(counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "words")
     size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     least = _frequent(vocabulary, words)
-    known = {bytes(r["word"]): r["n"] for r in (vocabulary if least is None else vocabulary.where(F.col("n") >= least)).toLocalIterator()}
+    known = (vocabulary if least is None else vocabulary.where(F.col("n") >= least)).toArrow()
+    logs = Table(known["word"].to_numpy().astype(_U), np.log10(known["n"].to_numpy() + 1.0))
 
     sums = grams.mapInArrow(_upper_sums, "key int, below double, a double, b double").groupBy("key").agg(F.sum("below").alias("below"), F.sum("a").alias("a"), F.sum("b").alias("b"))
     # at most 256 contexts with 255 nodes each
@@ -344,43 +369,36 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", learn: str =
     rated = written(grams.mapInArrow(rate, "code bigint, p double, n bigint"), "rated")
     common = _frequent(rated, strings)
     chosen = (rated if common is None else rated.where(F.col("n") >= common)).select("code", "p")
-    codes, ps = [], []
-    for r in chosen.toArrow().to_batches():
-        codes.append(r.column(0).to_numpy().view(_U))
-        ps.append(r.column(1).to_numpy())
-    table = Table(np.concatenate(codes) if codes else np.empty(0, _U), np.concatenate(ps) if ps else np.empty(0))
-    shared = spark.sparkContext.broadcast((table, {w: np.log10(n + 1.0) for w, n in known.items()}))  # at most STRINGS and WORDS entries
-    del known, codes, ps
+    chosen = chosen.toArrow()
+    table = Table(chosen["code"].to_numpy().astype(_U), chosen["p"].to_numpy())
+    shared = spark.sparkContext.broadcast((table, logs))  # at most STRINGS and WORDS entries of 16 bytes, and their index
+    del known, chosen, table, logs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, logs = shared.value
         names = ["id", "held_out", "n_bytes", "n_tokens", "n_known", "base", "score", "words", "strings"]
+
+        def looked_up(of: Table, code: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """By text: the sum of values and the number of what is missing; and lists of that."""
+            value, lost = of.get(code)
+            owner = np.searchsorted(first, lost, "right") - 1
+            n = len(first) - 1
+            return np.add.reduceat(value, first[:-1]), np.bincount(owner, minlength=n), _lists(code[lost], owner, n)
+
         for b in batches:
-            for lo, texts in _batches(b.column(0 + 1).to_pylist()):
-                code, first = strings_of(texts)
-                p, lost = look.get(code)
-                total = np.add.reduceat(p, first[:-1], dtype=np.float64) if len(texts) else np.empty(0)
-                owner = np.searchsorted(first, lost, "right") - 1
-                lost_of = np.split(code[lost].astype(np.int64), np.searchsorted(owner, np.arange(1, len(texts)))) if len(lost) else [[]] * len(texts)
-                if len(lost) and (np.diff(owner) < 0).any():
-                    order = np.argsort(owner, kind="stable")
-                    lost_of = np.split(code[lost[order]].astype(np.int64), np.searchsorted(owner[order], np.arange(1, len(texts))))
-                n, seen, base, rest = [], [], [], []
-                for x in texts:
-                    ws = x.split()
-                    ws.append(b"")
-                    found = [v for v in map(logs.get, ws) if v is not None]
-                    n.append(len(ws))
-                    seen.append(len(found))
-                    base.append(float(np.sum(found)) if found else 0.0)
-                    rest.append([] if len(found) == len(ws) or least is None else [w for w in ws if w not in logs])
+            for lo, texts in _batches(b.column(1).to_pylist()):
+                total, _, strings_ = looked_up(look, *strings_of(texts))
+                h, first = words_of(texts)
+                base, unknown, words_ = looked_up(logs, h, first)
+                n = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, len(texts)), pa.array(~np.array(b.column(2).slice(lo, len(texts)).to_pylist(), bool)), pa.array([len(x) for x in texts], pa.int64()), pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(total, pa.float64()), pa.array(rest, pa.list_(pa.binary())), pa.array([list(x) for x in lost_of], pa.list_(pa.int64()))],
+                    [b.column(0).slice(lo, len(texts)), pa.array(~np.array(b.column(2).slice(lo, len(texts)).to_pylist(), bool)), pa.array([len(x) for x in texts], pa.int64()), pa.array(n, pa.int64()), pa.array(n - unknown, pa.int64()), pa.array(base), pa.array(total), words_, strings_],
                     names=names,
                 )
 
-    scored = docs.select("id", "text", "learn").mapInArrow(run, f"id {kind}, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double, words array<binary>, strings array<bigint>")
+    scored = docs.select("id", "text", "learn").mapInArrow(run, f"id {kind}, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, base double, score double, words array<bigint>, strings array<bigint>")
     scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    shared.destroy()
     out = scored.drop("words", "strings")
     if least is not None:  # the rarer words
         rare = scored.select("row", F.explode("words").alias("word")).groupBy("row", "word").agg(F.count("*").alias("t"))

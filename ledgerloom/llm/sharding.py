@@ -4,7 +4,8 @@ Each shard draws a number for the key; the shard with the smallest -ln(draw) / w
 record. A new shard takes records only into itself, and a removed one gives only its own away.
 
 Defined results: a null key is a key like any other (the empty one); null texts have size 1;
-repeated rows go to one shard and get slots of their own; an empty table gives an empty result.
+repeated rows go to one shard and get slots of their own; an empty table gives an empty result;
+columns that are named like the new ones go on as <name>_in.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import set_aside, unused, written
+
 #: Records that one task numbers at a time.
 BLOCK = 50_000
 
@@ -35,16 +38,19 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 def shard(rows: DataFrame, key: str, weights: Sequence[float], order: Sequence[str] = (), column: str = "shard") -> DataFrame:
     """rows plus their shard and a slot in it, gapless from 0 in each shard.
 
-    A shard is numbered in blocks of keys with like hashes: a block is sorted in one task, and the
-    counts of the blocks before it give its first slot. No task sees a whole shard.
+    The rows are written once with a number each. A shard is numbered in blocks of rows with like
+    hashes (of key, order and number, so rows of one key are spread as well): a block is sorted in one
+    task, and the counts of the blocks before it give its first slot. No task sees a whole shard.
     """
     order = [key, *order]
-    placed = rows.withColumn(column, rendezvous(F.col(key), weights))
-    blocks = F.lit(max(1, -(-rows.count() // BLOCK)))
-    placed = placed.withColumn("_block", F.pmod(F.xxhash64(F.lit(7), F.col(key)), blocks).cast("int"))
-    sizes = placed.groupBy(column, "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(column).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select(column, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy(column, "_block").orderBy(*(F.col(c).asc_nulls_first() for c in order))
-    numbered = placed.withColumn("_slot", F.row_number().over(inside))
-    return numbered.join(first, [column, "_block"]).withColumn("slot", (F.col("_first") + F.col("_slot") - 1).cast("long")).drop("_block", "_first", "_slot")
+    rows = set_aside(rows, column, "slot")
+    block, row, n, first, at = unused(rows, "_block", "_row", "_n", "_first", "_at")
+    placed = written(rows.withColumn(column, rendezvous(F.col(key), weights)).withColumn(row, F.monotonically_increasing_id()), "placed")
+    blocks = F.lit(max(1, -(-placed.count() // BLOCK)))
+    placed = placed.withColumn(block, F.pmod(F.xxhash64(F.lit(7), *(F.col(c) for c in order), F.col(row)), blocks).cast("int"))
+    sizes = placed.groupBy(column, block).agg(F.count("*").alias(n))
+    before = Window.partitionBy(column).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select(column, block, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    inside = Window.partitionBy(column, block).orderBy(*(F.col(c).asc_nulls_first() for c in order), row)
+    numbered = placed.withColumn(at, F.row_number().over(inside))
+    return numbered.join(firsts, [column, block]).withColumn("slot", (F.col(first) + F.col(at) - 1).cast("long")).drop(block, first, at, row)

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 #: Rows of the training sample, at most.
 SAMPLE = 16_384
 #: Rows and queries of a block, and how many of a row block are scored exactly at first.
-ROWS, QUERIES, RERANK = 32_768, 2_048, 128
+ROWS, QUERIES, RERANK = 32_768, 16_384, 128
+#: Rows of a block as long as there are fewer blocks than cores.
+FEW = 4_096
 
 
 class Quantiser:
@@ -198,22 +200,24 @@ def neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     spark = vectors.sparkSession
     schema = "query_id long, vec_id long, score double"
     good = clean(vectors, key, vector)
+    kind = np.float32 if "array<float>" in vectors.schema[vector].dataType.simpleString() else np.float64  # products are in double
     lengths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
     if not lengths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, n = lengths[0]["d"], lengths[0]["count"]
     good = good.where(F.size("v") == d)
     share = min(1.0, sample / n)
-    drawn = good.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("v").limit(sample)
+    drawn = good.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    drawn = drawn.orderBy(F.xxhash64(F.lit(12), "id"), "id", F.xxhash64("v")).select("v").limit(sample)
     model = Quantiser(np.array([r["v"] for r in drawn.collect()] or [[1.0] * d], np.float64))
     model_of = spark.sparkContext.broadcast(model)  # 16 centroids for each two dimensions
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.stack(b["v"].to_numpy()) if len(b) else np.empty((0, d))
-            yield pd.DataFrame({"id": b["id"], "v": [r.tobytes() for r in x], "code": [r.tobytes() for r in model_of.value.encode(x)]})
+            yield pd.DataFrame({"id": b["id"], "v": [r.tobytes() for r in x.astype(kind)], "code": [r.tobytes() for r in model_of.value.encode(x)]})
 
-    n_rows, n_queries = max(1, -(-n // rows)), max(1, -(-n // (every * queries)))
+    n_rows, n_queries = max(-(-n // rows), min(spark.sparkContext.defaultParallelism, -(-n // FEW))), max(1, -(-n // (every * queries)))
     coded = good.mapInPandas(encode, "id long, v binary, code binary").withColumn("_h", F.xxhash64("id"))
     cell = lambda many, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(many)).cast("int")
     each = lambda many, name: F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias(name)
@@ -225,8 +229,8 @@ def neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
         base, asks = g[~g["asks"]], g[g["asks"]].drop_duplicates("id")
         if not len(base) or not len(asks):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        as_rows = lambda c, kind: np.frombuffer(b"".join(c), kind).reshape(len(c), -1)
-        found = scan(model_of.value, base["id"].to_numpy(), as_rows(base["v"], np.float64), as_rows(base["code"], np.uint8), asks["id"].to_numpy(), as_rows(asks["v"], np.float64), k, rerank)
+        as_rows = lambda c, of: np.frombuffer(b"".join(c), of).reshape(len(c), -1)
+        found = scan(model_of.value, base["id"].to_numpy(), as_rows(base["v"], kind), as_rows(base["code"], np.uint8), asks["id"].to_numpy(), as_rows(asks["v"], kind), k, rerank)
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*found)))))
 
     hits = left.unionByName(right).groupBy("r", "q").applyInPandas(search, schema)

@@ -43,6 +43,25 @@ def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
         spark.conf.set(name, str(size))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """names, each with as many underscores behind it as it takes to be no column of df."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def set_aside(df: DataFrame, *new: str) -> DataFrame:
+    """df with room for new columns: a column of the same name goes on as <name>_in."""
+    for n in new:
+        for c in [c for c in df.columns if c.lower() == n.lower()]:
+            df = df.withColumnRenamed(c, unused(df, f"{c}_in")[0])
+    return df
+
+
 def crc32_of_id(name: str = "doc_id") -> Column:
     """crc32 of the id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))

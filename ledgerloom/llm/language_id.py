@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import bounded_batches, set_aside
+
 #: Hashed n-grams of each length.
 TABLES = {1: 1 << 10, 2: 1 << 12, 3: 1 << 14, 4: 1 << 14}
 #: Labelled rows of each language that the model learns from, at most about so many.
@@ -126,6 +128,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
     Only packed n-gram tables of the sample come to the driver: 5 KB a row.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(F.lit(seed), F.col(text)).alias("h"))
     counts = {r["l"]: r["count"] for r in docs.groupBy("l").count().collect()}
     if not counts:
@@ -155,8 +158,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", characters: int = 400_000) -> DataFrame:
-    """docs plus lang_pred and score (0 to 1); extra columns are kept as they are."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    """docs plus lang_pred and score (0 to 1); extra columns are kept as they are, those of these names as <name>_in."""
+    bounded_batches(docs.sparkSession)
+    docs = set_aside(docs, "lang_pred", "score")
+    names = docs.columns
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of landmarks in fixed tables
 

@@ -9,11 +9,13 @@ depends on the text to its right alone. Where the overlap holds no such boundary
 in the end to the whole document.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); empty tables give empty
-results; repeated rows are counted one by one; extra columns are carried along untouched.
+results; repeated rows are counted one by one; extra columns are carried along untouched, those
+that are named like the new ones as <name>_in.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -21,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import bounded_batches, set_aside
+
 #: Characters that a boundary must keep from the end of its chunk.
 MARGIN = 32
 #: Distinct pre-tokens whose counts a worker keeps; then it starts anew.
@@ -47,6 +51,10 @@ class Counter:
         self.model.no_truncation()
         self.model.no_padding()
         self.chunk, self.overlap = chunk, overlap
+        parts = json.loads(self.model.to_str())
+        cut = parts.get("pre_tokenizer") or {}
+        #: Whether PATTERN cuts as this file does; else texts are encoded whole.
+        self.plain = parts.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
         self.added = [x.content for x in self.model.get_added_tokens_decoder().values()]
         if any(len(x) > MARGIN - 4 for x in self.added):
             raise ValueError("an added token is longer than the margin of stable boundaries")
@@ -59,7 +67,7 @@ class Counter:
         """Counts of texts that fit a chunk; each distinct pre-token is encoded once."""
         out, cut = [0] * len(texts), []
         for i, text in enumerate(texts):
-            if self.odd.search(text) or any(x in text for x in self.added):
+            if not self.plain or self.odd.search(text) or any(x in text for x in self.added):
                 out[i] = self.whole([text])[0]
             else:
                 cut.append((i, self.pieces.findall(text)))
@@ -135,7 +143,9 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", limit: in
     vocabulary is the path of a tokenizers file that every executor has. No shuffle: each task
     counts the documents that it reads.
     """
-    keep = [f for f in docs.schema.fields if f.name not in (text, "n_bytes", "n_tokens", "over_limit")]
+    bounded_batches(docs.sparkSession)
+    docs = set_aside(docs, "n_bytes", "n_tokens", "over_limit")
+    keep = [f for f in docs.schema.fields if f.name != text]
     schema = T.StructType([*keep, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
     names = [f.name for f in keep]
 

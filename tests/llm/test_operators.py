@@ -343,6 +343,13 @@ def test_sharding_weights_and_awkward_rows(spark, awkward, empty, monkeypatch):
         sharding.rendezvous(F.col("x"), [0.0])
 
 
+def test_one_key_is_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 50)
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("k"), F.lit("mine").alias("slot"), F.lit("block").alias("_block"))
+    got = sharding.shard(rows, "k", [1.0] * 3)
+    assert sorted(r["slot"] for r in got.collect()) == list(range(2000)) and {r["slot_in"] for r in got.collect()} == {"mine"} and "_block" in got.columns
+
+
 # ---- 6
 
 

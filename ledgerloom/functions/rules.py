@@ -58,13 +58,26 @@ def command_args(c: Column) -> Column:
     return out
 
 
-def change_type(change: Column, effects: Column) -> Column:
-    """How an object changed: the effects' lists by priority, then the id operation, then the versions."""
+def let(value: Column, use) -> Column:
+    """use(value) with value made once for each row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def listed(effects: Column, name: str, object_id: Column) -> Column:
+    return F.coalesce(F.array_contains(effects[name], object_id), F.lit(False))
+
+
+def change_type(change: Column, effects: Column, is_package: Column) -> Column:
+    """How an object changed: the effects' lists by priority, then the id operation, then the versions.
+
+    Effects of version 1 have no list of published packages: these are the created objects that are packages.
+    """
     oid, has_in, has_out = change["object_id"], change["input_version"].isNotNull(), change["output_version"].isNotNull()
-    listed = lambda name: F.coalesce(F.array_contains(effects[name], oid), F.lit(False))
+    of = lambda name: listed(effects, name, oid)
+    published = F.when(effects["version"] == 1, of("created") & is_package).otherwise(of("published"))
     return (
-        F.when(listed("published"), "PACKAGE_WRITE").when(listed("created"), "CREATED").when(listed("mutated"), "MUTATED").when(listed("unwrapped"), "UNWRAPPED")
-        .when(listed("deleted") | listed("unwrapped_then_deleted"), "DELETED").when(listed("wrapped"), "WRAPPED")
+        F.when(published, "PACKAGE_WRITE").when(of("created"), "CREATED").when(of("mutated"), "MUTATED").when(of("unwrapped"), "UNWRAPPED")
+        .when(of("deleted") | of("unwrapped_then_deleted"), "DELETED").when(of("wrapped"), "WRAPPED")
         .when(change["id_operation"] == "created", "CREATED").when(change["id_operation"] == "deleted", "DELETED")
         .when(has_in & has_out, "MUTATED").when(has_out, "CREATED").otherwise("DELETED")
     )
@@ -99,12 +112,11 @@ def summary_digest(raw: bytes) -> str:
 
 
 def digest_fill(df: DataFrame, digest_col: str, bytes_col: str) -> DataFrame:
-    """Compute digests that are null or empty; rows that have one never reach Python."""
+    """Compute digests that are null or empty, in one pass; of rows that have one, Python sees a null."""
 
     @F.pandas_udf("string")
     def computed(raw: pd.Series) -> pd.Series:
         return raw.map(lambda x: None if x is None else summary_digest(bytes(x)))
 
     missing = F.coalesce(F.col(digest_col), F.lit("")) == ""
-    filled = df.where(missing).withColumn(digest_col, computed(F.col(bytes_col)))
-    return df.where(~missing).unionByName(filled.select(*df.columns))
+    return df.withColumn(digest_col, F.when(missing, computed(F.when(missing, F.col(bytes_col)))).otherwise(F.col(digest_col)))

@@ -1,7 +1,8 @@
 """Explodes: one flat table each from the nested checkpoint DataFrame `cp`.
 
-Every row carries checkpoint_seq and timestamp_ms. All of them are narrow: no shuffle, and the
-nested columns that a table does not need are pruned at the scan.
+Every row carries checkpoint_seq and timestamp_ms. They are narrow, but for packages, which are
+brought together once by key: no shuffle, and the nested columns that a table does not need are
+pruned at the scan.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ def _spread(tx: DataFrame, array: Column, *names: str) -> DataFrame:
 
 
 def checkpoints(cp: DataFrame) -> DataFrame:
-    """One row for each checkpoint; a missing digest is empty here (see digest_fill)."""
+    """One row for each checkpoint; a missing digest is computed from the summary's bytes, and empty without those."""
     s = F.col("summary")
-    return cp.select(
-        "sequence_number", F.coalesce("digest", F.lit("")).alias("digest"), s["epoch"].alias("epoch"), s["timestamp_ms"].alias("timestamp_ms"), s["previous_digest"].alias("previous_digest"),
-        s["content_digest"].alias("content_digest"), *(s[c].alias(c) for c in ("network_total_transactions", "computation_cost", "storage_cost", "storage_rebate", "non_refundable_storage_fee")),
+    named = {"network_total_transactions": "total_network_transactions"} | {c: f"rolling_{c}" for c in ("computation_cost", "storage_cost", "storage_rebate", "non_refundable_storage_fee")}
+    rows = cp.select(
+        "sequence_number", s["epoch"].alias("epoch"), s["timestamp_ms"].alias("timestamp_ms"), "digest", s["previous_digest"].alias("previous_digest"),
+        s["content_digest"].alias("content_digest"), *(s[c].alias(n) for c, n in named.items()), s["raw"].alias("raw"),
     )
+    return rules.digest_fill(rows, "digest", "raw").drop("raw").withColumn("digest", F.coalesce("digest", F.lit("")))
 
 
 def transactions(cp: DataFrame) -> DataFrame:
@@ -40,11 +43,11 @@ def transactions(cp: DataFrame) -> DataFrame:
     null = lambda name, kind="string": F.lit(None).cast(kind).alias(name)
     calls = F.when(t["kind"] == "ProgrammableTransaction", F.size(F.filter(F.coalesce(t["commands"], F.array()), lambda c: c["kind"] == "MoveCall"))).otherwise(0)
     return tx.select(
-        F.col("tx_digest").alias("digest"), "checkpoint_seq", "timestamp_ms", e["executed_epoch"].alias("epoch"), t["position"].alias("position"), t["sender"].alias("sender"), F.coalesce(t["kind"], F.lit("")).alias("tx_kind"), e["success"].alias("success"),
+        F.col("tx_digest").alias("digest"), "checkpoint_seq", "timestamp_ms", e["executed_epoch"].alias("epoch"), t["position"].alias("position"), F.coalesce(t["sender"], F.lit("")).alias("sender"), F.coalesce(t["kind"], F.lit("")).alias("tx_kind"), e["success"].alias("success"),
         F.when(failed, rules.error_kind(e["error"])).alias("error_kind"), null("error_description"), F.when(failed, e["error_command"]).alias("error_command_index"),
         F.when(aborted, e["abort_code"]).alias("error_abort_code"), F.when(aborted, e["abort_module"]).alias("error_module"), F.when(aborted, e["abort_function"]).alias("error_function"),
         null("error_arg_idx", "bigint"), null("error_type_arg_idx", "bigint"), null("error_sub_kind"), null("error_current_size", "bigint"), null("error_max_size", "bigint"), null("error_coin_type"), null("error_denied_address"), null("error_object_id"),
-        F.coalesce(t["gas_owner"], t["sender"]).alias("gas_owner"), F.coalesce(t["gas_price"], F.lit(0)).alias("gas_price"), F.coalesce(t["gas_budget"], F.lit(0)).alias("gas_budget"),
+        F.coalesce(t["gas_owner"], t["sender"], F.lit("")).alias("gas_owner"), F.coalesce(t["gas_price"], F.lit(0)).alias("gas_price"), F.coalesce(t["gas_budget"], F.lit(0)).alias("gas_budget"),
         *(e[c].alias(c) for c in ("computation_cost", "storage_cost", "storage_rebate", "non_refundable_storage_fee")), F.nullif(e["gas_object_id"], F.lit(rules.NO_OBJECT)).alias("gas_object_id"),
         e["events_digest"].alias("events_digest"), e["lamport_version"].alias("lamport_version"), F.size(F.coalesce(e["dependencies"], F.array())).alias("dependency_count"), F.coalesce(calls, F.lit(0)).alias("move_call_count"),
         F.lit("NONE").alias("expiration_kind"), null("expiration_epoch", "bigint"), null("expiration_min_epoch", "bigint"), null("expiration_max_epoch", "bigint"), null("expiration_min_ts_seconds", "bigint"), null("expiration_max_ts_seconds", "bigint"), null("expiration_chain"), null("expiration_nonce", "bigint"),

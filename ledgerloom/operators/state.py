@@ -1,17 +1,18 @@
 """Objects before and after a transaction: look-ups, changes, balances.
 
-A checkpoint brings all object states that its transactions touch, so every join here has the
-checkpoint in its key and one exchange by (checkpoint, object) serves both look-ups.
+A checkpoint's row brings all object states that its transactions touch, so states are looked up
+inside the row, by functions on its arrays: no shuffle. object_set and object_lookup are the same as
+tables and a join, for states that come from elsewhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import rules
-from .flatten import _transactions
 
 _OBJECT = ("version", "owner", "object_type", "previous_transaction", "coin_type", "balance")
 
@@ -30,19 +31,41 @@ def object_set(cp: DataFrame) -> DataFrame:
     return kept.select("checkpoint_seq", "object_id", *(F.col(f"s.{c}").alias(c) for c in _OBJECT), "s.is_package")
 
 
+def _seen() -> Column:
+    """The object states of a row, those of later transactions first, those of the checkpoint last: the first of a key counts."""
+    kept = lambda o: F.struct(o["object_id"].alias("object_id"), *(o[c].alias(c) for c in _OBJECT), o["package"].isNotNull().alias("is_package"))
+    none = lambda a: F.filter(a, lambda x: x.isNotNull())
+    held = F.transform(F.col("transactions"), lambda t: F.struct(t["position"].alias("position"), F.transform(t["objects"], kept).alias("o")))
+    inner = F.transform(F.array_sort(held, lambda a, b: b["position"] - a["position"]), lambda x: x["o"])
+    return F.flatten(none(F.concat(F.coalesce(inner, F.array()), F.array(F.transform(F.col("objects"), kept)))))
+
+
+def stated(cp: DataFrame) -> DataFrame:
+    """One row for each changed object of each transaction, with its states before and after (null: not in the set)."""
+
+    def change(t: Column, c: Column, seen: Column) -> Column:
+        e = t["effects"]
+        at = lambda version: F.get(F.filter(seen, lambda o: (o["object_id"] == c["object_id"]) & (o["version"] == c[version])), F.lit(0))
+        return F.struct(t["position"].alias("position"), e.alias("e"), rules.first_text(e["transaction_digest"], t["digest"]).alias("tx_digest"), c.alias("c"), at("input_version").alias("before"), at("output_version").alias("after"))
+
+    def of(t: Column, seen: Column) -> Column:
+        some = F.filter(t["effects"]["changes"], lambda c: c["input_version"].isNotNull() | c["output_version"].isNotNull())
+        found = F.transform(some, lambda c: change(t, c, seen))
+        # of the effects only what the rules need goes on with each change
+        return F.transform(found, lambda x: F.struct(*(x[n].alias(n) for n in ("position", "tx_digest", "c", "before", "after")), x["e"]["version"].alias("effects"), (F.nullif(x["e"]["gas_object_id"], F.lit(rules.NO_OBJECT)) == x["c"]["object_id"]).alias("gas"), rules.change_type(x["c"], x["e"], F.coalesce(x["after"]["is_package"], F.lit(False))).alias("change_type"), reduce(lambda a, b: a | b, (rules.listed(x["e"], n, x["c"]["object_id"]) for n in ("created", "mutated", "unwrapped"))).alias("shown")))
+
+    rows = rules.let(_seen(), lambda seen: F.flatten(F.filter(F.transform(F.col("transactions"), lambda t: of(t, seen)), lambda a: a.isNotNull())))
+    out = cp.select(F.col("sequence_number").alias("checkpoint_seq"), F.col("summary.timestamp_ms").alias("timestamp_ms"), F.explode(rows).alias("x"))
+    return out.select(
+        "x.tx_digest", "checkpoint_seq", "timestamp_ms", "x.position", F.col("x.c.object_id").alias("object_id"), "x.change_type", F.col("x.c.input_version").alias("input_version"), F.col("x.c.input_digest").alias("input_digest"),
+        F.when(F.col("x.effects") == 2, F.col("x.c.input_owner")).alias("input_owner"), F.col("x.c.output_version").alias("output_version"), F.col("x.c.output_digest").alias("output_digest"), F.when(F.col("x.shown"), F.col("x.c.output_owner")).alias("output_owner"),
+        F.coalesce("x.gas", F.lit(False)).alias("is_gas_object"), "x.before", "x.after",
+    )
+
+
 def changes(cp: DataFrame) -> DataFrame:
     """One row for each changed object of each transaction, with what the rules need."""
-    tx = _transactions(cp)
-    e = F.col("t.effects")
-    rows = tx.select("tx_digest", "checkpoint_seq", "timestamp_ms", F.col("t.position").alias("position"), e.alias("e"), F.explode("t.effects.changes").alias("c"))
-    rows = rows.withColumn("change_type", rules.change_type(F.col("c"), F.col("e")))
-    gas = F.nullif(F.col("e.gas_object_id"), F.lit(rules.NO_OBJECT))
-    shown = F.col("change_type").isin("CREATED", "MUTATED", "UNWRAPPED")
-    return rows.where("c.input_version IS NOT NULL OR c.output_version IS NOT NULL").select(
-        "tx_digest", "checkpoint_seq", "timestamp_ms", "position", F.col("c.object_id").alias("object_id"), "change_type", F.col("c.input_version").alias("input_version"), F.col("c.input_digest").alias("input_digest"),
-        F.when(F.col("e.version") == 2, F.col("c.input_owner")).alias("input_owner"), F.col("c.output_version").alias("output_version"), F.col("c.output_digest").alias("output_digest"), F.when(shown, F.col("c.output_owner")).alias("output_owner"),
-        F.coalesce(gas == F.col("c.object_id"), F.lit(False)).alias("is_gas_object"),
-    )
+    return stated(cp).drop("before", "after")
 
 
 def object_lookup(changed: DataFrame, objects: DataFrame) -> DataFrame:
@@ -59,28 +82,25 @@ def object_lookup(changed: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def object_changes(cp: DataFrame) -> DataFrame:
-    found = object_lookup(changes(cp), object_set(cp))
-    return found.select(
-        "tx_digest", "object_id", "change_type", "object_type", "input_version", "input_digest", rules.owner_id(F.col("input_owner")).alias("input_owner"), F.col("input_owner.kind").alias("input_owner_kind"),
+    state = F.coalesce("after", "before")
+    return stated(cp).select(
+        "tx_digest", "object_id", "change_type", state["object_type"].alias("object_type"), "input_version", "input_digest", rules.owner_id(F.col("input_owner")).alias("input_owner"), F.col("input_owner.kind").alias("input_owner_kind"),
         "output_version", "output_digest", rules.owner_id(F.col("output_owner")).alias("output_owner"), F.col("output_owner.kind").alias("output_owner_kind"), "is_gas_object",
-        F.coalesce("previous_transaction", F.lit("")).alias("previous_transaction"), "checkpoint_seq", "timestamp_ms",
+        F.coalesce(state["previous_transaction"], F.lit("")).alias("previous_transaction"), "checkpoint_seq", "timestamp_ms",
     )
 
 
-def _states(cp: DataFrame, version: str) -> DataFrame:
-    """Coin states that count, at one side of a transaction: coins that an address owns."""
-    c = changes(cp).where(F.col(version).isNotNull()).select("tx_digest", "checkpoint_seq", "timestamp_ms", "position", "object_id", F.col(version).alias("version"))
-    held = object_set(cp).where(F.col("owner.kind").isin(*rules.ADDRESS_KINDS) & F.col("coin_type").isNotNull())
-    held = held.select("checkpoint_seq", "object_id", "version", F.col("owner.address").alias("owner_id"), F.col("owner.kind").alias("owner_kind"), "coin_type", "balance")
-    return c.join(held, ["checkpoint_seq", "object_id", "version"])
+def _coin(state: str) -> Column:
+    """The state of a coin that an address owns; null for anything else."""
+    o = F.col(state)
+    held = F.struct(o["owner"]["address"].alias("owner_id"), o["owner"]["kind"].alias("owner_kind"), o["coin_type"].alias("coin_type"), o["balance"].alias("balance"), o["version"].alias("version"))
+    return F.when(o["owner"]["kind"].isin(*rules.ADDRESS_KINDS) & o["coin_type"].isNotNull(), held)
 
 
 def before_after(cp: DataFrame) -> DataFrame:
     """One row for each coin that a transaction touched, with struct columns before and after (either may be null)."""
-    keys = ["checkpoint_seq", "tx_digest", "object_id", "timestamp_ms", "position"]
-    state = F.struct("owner_id", "owner_kind", "coin_type", "balance", "version")
-    before, after = _states(cp, "input_version").select(*keys, state.alias("before")), _states(cp, "output_version").select(*keys, state.alias("after"))
-    return before.join(after, keys, "full_outer")
+    rows = stated(cp).select("checkpoint_seq", "tx_digest", "object_id", "timestamp_ms", "position", _coin("before").alias("before"), _coin("after").alias("after"))
+    return rows.where("before IS NOT NULL OR after IS NOT NULL")
 
 
 def touched_ids(before: DataFrame, after: DataFrame, key: str = "object_id") -> DataFrame:
@@ -100,18 +120,23 @@ def coin_balances(cp: DataFrame) -> DataFrame:
 
 def balance_changes(cp: DataFrame) -> DataFrame:
     """Net change for each transaction, address and coin type; zeros go. Out-of-range sums are null, not wrong."""
-    sides = [_states(cp, "output_version").withColumn("x", F.col("balance").cast("decimal(38,0)")), _states(cp, "input_version").withColumn("x", -F.col("balance").cast("decimal(38,0)"))]
-    both = sides[0].unionByName(sides[1])
+    signed = lambda side, x: F.struct(F.col(f"{side}.owner_id").alias("owner_id"), F.col(f"{side}.coin_type").alias("coin_type"), x.cast("decimal(38,0)").alias("x"))
+    sides = F.array(F.when(F.col("after").isNotNull(), signed("after", F.col("after.balance"))), F.when(F.col("before").isNotNull(), signed("before", -F.col("before.balance"))))
+    both = before_after(cp).select("tx_digest", "checkpoint_seq", "timestamp_ms", F.explode(F.filter(sides, lambda s: s.isNotNull())).alias("s")).select("tx_digest", "checkpoint_seq", "timestamp_ms", "s.*")
     net = both.groupBy("tx_digest", F.col("owner_id").alias("address"), "coin_type", "checkpoint_seq", "timestamp_ms").agg(F.try_sum("x").alias("amount"))
     return net.where("amount <> 0 OR amount IS NULL").select("tx_digest", "address", "coin_type", "amount", "checkpoint_seq", "timestamp_ms")
 
 
 def published_packages(cp: DataFrame) -> DataFrame:
     """(tx_digest, object_id) of published packages: created ids that are packages (effects 1), the given list (effects 2)."""
-    tx = _transactions(cp)
-    old = tx.where("t.effects.version = 1").select("tx_digest", "checkpoint_seq", F.explode("t.effects.created").alias("object_id"))
-    old = old.join(object_set(cp).where("is_package").select("checkpoint_seq", "object_id"), ["checkpoint_seq", "object_id"], "left_semi").select("tx_digest", "object_id")
-    return old.unionByName(tx.where("t.effects.version = 2").select("tx_digest", F.explode("t.effects.published").alias("object_id")))
+
+    def of(t: Column, seen: Column) -> Column:
+        made = F.filter(t["effects"]["created"], lambda i: F.exists(seen, lambda o: (o["object_id"] == i) & o["is_package"]))
+        ids = F.when(t["effects"]["version"] == 1, made).when(t["effects"]["version"] == 2, t["effects"]["published"])
+        return F.transform(ids, lambda i: F.struct(rules.first_text(t["effects"]["transaction_digest"], t["digest"]).alias("tx_digest"), i.alias("object_id")))
+
+    rows = rules.let(_seen(), lambda seen: F.flatten(F.filter(F.transform(F.col("transactions"), lambda t: of(t, seen)), lambda a: a.isNotNull())))
+    return cp.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def holder_balances(log: DataFrame, k: int | None = None) -> DataFrame:
@@ -123,9 +148,3 @@ def holder_balances(log: DataFrame, k: int | None = None) -> DataFrame:
     last = log.groupBy("object_id").agg(F.max_by(F.struct("owner_id", "coin_type", "balance", "is_deleted"), order).alias("s")).where("NOT s.is_deleted")
     out = last.groupBy(F.col("s.owner_id").alias("owner_id"), F.col("s.coin_type").alias("coin_type")).agg(F.sum("s.balance").alias("balance"), F.count("*").alias("coins"))
     return out if k is None else out.orderBy(F.desc("balance"), "owner_id", "coin_type").limit(k)
-
-
-def latest_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key by an order."""
-    w = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order))
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

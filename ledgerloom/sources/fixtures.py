@@ -91,7 +91,7 @@ def nested_checkpoints(spark: SparkSession, sf_dir: str, parts: Iterable[str] =
         o = o.where(F.col("alive") | had).withColumn("had", had)
         owner = lambda kind, who: F.struct(F.col(kind).alias("kind"), F.when(F.col(kind) != "Shared", F.col(who)).alias("address"))
         change = F.struct("object_id", F.when(F.col("had"), F.col("prev_version")).alias("input_version"), F.lit(None).cast("string").alias("input_digest"), F.when(F.col("had"), owner("prev_kind", "prev_owner")).alias("input_owner"), F.when(F.col("alive"), F.col("version")).alias("output_version"), F.lit(None).cast("string").alias("output_digest"), F.when(F.col("alive"), owner("owner_kind", "owner_id")).alias("output_owner"), F.lit("none").alias("id_operation"))
-        state = lambda version, kind, who, balance, previous: F.struct("object_id", F.col(version).alias("version"), owner(kind, who).alias("owner"), F.concat(F.lit("Coin<"), "coin_type", F.lit(">")).alias("object_type"), previous.alias("previous_transaction"), "coin_type", F.col(balance).cast("decimal(20,0)").alias("balance"), F.lit(None).cast("struct<original_id:string,modules:map<string,binary>>").alias("package"))
+        state = lambda version, kind, who, balance, previous: F.struct("object_id", F.col(version).alias("version"), owner(kind, who).alias("owner"), F.concat(F.lit("Coin<"), "coin_type", F.lit(">")).alias("object_type"), previous.alias("previous_transaction"), "coin_type", F.col(balance).cast("decimal(20,0)").alias("balance"), F.when(F.col("object_id").cast("bigint") % 10 == 0, F.struct(F.col("object_id").alias("original_id"), F.create_map(F.lit("m"), F.lit("x").cast("binary")).alias("modules"))).alias("package"))
         now, old = state("version", "owner_kind", "owner_id", "balance", F.col("tx_no").cast("string")), state("prev_version", "prev_kind", "prev_owner", "prev_balance", (F.col("prev_version") - 1).cast("string"))
         ids = lambda when: F.filter(F.collect_list(F.when(when, F.col("object_id"))), lambda x: x.isNotNull())
         both = F.filter(F.array(F.when(F.col("alive"), cast(now, OBJECT)), F.when(F.col("had"), cast(old, OBJECT))), lambda x: x.isNotNull())
@@ -116,7 +116,7 @@ def nested_checkpoints(spark: SparkSession, sf_dir: str, parts: Iterable[str] =
     failed = ~F.col("success")
     aborted = failed & (F.col("tx_no") % 2 == 0)
     effects = F.struct(
-        F.lit(2).alias("version"), F.col("digest").alias("transaction_digest"), "success", F.col("epoch").alias("executed_epoch"), F.when(aborted, F.concat(F.lit("MoveAbort(m, "), F.col("tx_no").cast("string"), F.lit(")"))).when(failed, "InsufficientGas").alias("error"),
+        F.when(F.col("tx_no") % 4 == 0, 1).otherwise(2).alias("version"), F.col("digest").alias("transaction_digest"), "success", F.col("epoch").alias("executed_epoch"), F.when(aborted, F.concat(F.lit("MoveAbort(m, "), F.col("tx_no").cast("string"), F.lit(")"))).when(failed, "InsufficientGas").alias("error"),
         F.when(failed, F.lit(0)).alias("error_command"), F.when(aborted, (F.col("tx_no") % 7).cast("decimal(20,0)")).alias("abort_code"), F.when(aborted, F.lit("m")).alias("abort_module"), F.when(aborted, F.lit("f")).alias("abort_function"),
         (F.col("tx_no") % 1000).cast("decimal(20,0)").alias("computation_cost"), (F.col("tx_no") % 100).cast("decimal(20,0)").alias("storage_cost"), (F.col("tx_no") % 10).cast("decimal(20,0)").alias("storage_rebate"), zero.alias("non_refundable_storage_fee"),
         F.lit("0x" + "0" * 64).alias("gas_object_id"), F.lit(None).cast("string").alias("events_digest"), (F.col("tx_no") + 1).alias("lamport_version"), "dependencies", "created", "mutated", "unwrapped", "deleted",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import rules
-from ..schemas import TABLE_BITS, TABLES
+from ..schemas import LAYOUT, NUMBERS, TABLE_BITS, TABLES
 
 #: Null fields stay visible in the records.
 JSON = {"ignoreNullFields": "false"}
@@ -42,14 +42,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def laid_out(name: str, df: DataFrame) -> DataFrame:
+    """A table in the layout of its record: its columns in order, 64-bit quantities as decimal strings. Other tables stay as they are."""
+    if name not in LAYOUT:
+        return df
+    quantity = lambda c: c not in NUMBERS and df.schema[c].dataType.typeName() in ("long", "decimal", "integer")
+    return df.select(*(F.col(c).cast("string").alias(c) if quantity(c) else F.col(c) for c in LAYOUT[name].split()))
+
+
 def union_records(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, row_json) of all tables, in the tables' order."""
-    return _union([df.select(F.lit(n).alias("table"), F.to_json(F.struct("*"), JSON).alias("row_json")) for n, df in tables.items()])
+    return _union([laid_out(n, df).select(F.lit(n).alias("table"), F.to_json(F.struct("*"), JSON).alias("row_json")) for n, df in tables.items()])
 
 
 def tagged(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Flat rows with a leading _table field, as JSON in `value`."""
-    return _union([df.select(F.to_json(F.struct(F.lit(n).alias("_table"), "*"), JSON).alias("value")) for n, df in tables.items()])
+    return _union([laid_out(n, df).select(F.to_json(F.struct(F.lit(n).alias("_table"), "*"), JSON).alias("value")) for n, df in tables.items()])
 
 
 def wrapped(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -65,7 +73,7 @@ def sink_jsonl_tagged(tables: Mapping[str, DataFrame], path: str, mode: str = "e
 
 
 def sink_jsonl_single(tables: Mapping[str, DataFrame], table: str, path: str, mode: str = "errorifexists") -> None:
-    tables[table].select(F.to_json(F.struct("*"), JSON).alias("value")).write.mode(mode).text(path)
+    laid_out(table, tables[table]).select(F.to_json(F.struct("*"), JSON).alias("value")).write.mode(mode).text(path)
 
 
 def sink_jsonl_wrapped(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
@@ -88,7 +96,8 @@ def sink_noop(tables: Mapping[str, DataFrame], mode: str = "no_write") -> DataFr
 
 def messages(tables: Mapping[str, DataFrame], prefix: str) -> DataFrame:
     """(topic, key, value): one message for each row on subject prefix.table, shaped as a Kafka writer wants it."""
-    parts = [df.select(rules.subject(prefix, F.lit(n)).alias("topic"), (F.col("checkpoint_seq") if "checkpoint_seq" in df.columns else F.col(df.columns[0])).cast("string").alias("key"), F.to_json(F.struct("*"), JSON).alias("value")) for n, df in tables.items()]
+    named = {n: laid_out(n, df) for n, df in tables.items()}
+    parts = [df.select(rules.subject(prefix, F.lit(n)).alias("topic"), (F.col("checkpoint_seq") if "checkpoint_seq" in df.columns else F.col(df.columns[0])).cast("string").alias("key"), F.to_json(F.struct("*"), JSON).alias("value")) for n, df in named.items()]
     return _union(parts)
 
 

@@ -259,3 +259,34 @@ def test_failing_sink_fails_the_query(spark, tmp_path):
     q = streams.custom_sink(streams.live_source(spark, str(tmp_path / "in"), "seq long", kind="json"), fail, str(tmp_path / "cp"))
     with pytest.raises(Exception, match="no room"):
         q.awaitTermination()
+
+
+def test_states_are_looked_up_inside_the_row(spark, tmp_path):
+    from ledgerloom.operators import state
+    from ledgerloom.sources import fixtures
+
+    path = str(tmp_path / "cp")
+    fixtures.nested_checkpoints(spark, "/root/testdata/sf0.001", ["objects"]).write.parquet(path)
+    cp = spark.read.parquet(path)
+    for rows in (state.object_changes(cp), state.coin_balances(cp), state.before_after(cp), state.published_packages(cp)):
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_record_layout(spark):
+    import json
+
+    from ledgerloom.operators.extract import extract_tables
+    from ledgerloom.schemas import LAYOUT, NUMBERS, TABLES
+    from ledgerloom.sources import fixtures, records
+
+    assert set(LAYOUT) == set(TABLES)
+    tables = extract_tables(fixtures.nested_checkpoints(spark, "/root/testdata/sf0.001", fixtures.PARTS), list(TABLES))
+    flags = {"success", "is_gas_object", "is_deleted"}
+    seen = set()
+    for r in records.union_records({n: df.limit(5) for n, df in tables.items()}).collect():
+        row = json.loads(r["row_json"])
+        seen.add(r["table"])
+        assert list(row) == LAYOUT[r["table"]].split()
+        for k, v in row.items():
+            assert v is None or isinstance(v, bool if k in flags else int if k in NUMBERS else str), (r["table"], k, v)
+    assert seen >= set(TABLES) - {"packages", "package_modules"}

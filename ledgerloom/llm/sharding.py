@@ -35,22 +35,26 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return F.array_min(F.array(*(F.struct((-F.log(draw(j)) / float(w)).alias("cost"), F.lit(j).alias("shard")) for j, w in enumerate(weights)))).getField("shard")
 
 
-def shard(rows: DataFrame, key: str, weights: Sequence[float], order: Sequence[str] = (), column: str = "shard") -> DataFrame:
+def shard(rows: DataFrame, key: str, weights: Sequence[float], order: Sequence[str] = (), column: str = "shard", spread: bool = True) -> DataFrame:
     """rows plus their shard and a slot in it, gapless from 0 in each shard.
 
-    The rows are written once with a number each. A shard is numbered in blocks of rows with like
-    hashes (of key, order and number, so rows of one key are spread as well): a block is sorted in one
-    task, and the counts of the blocks before it give its first slot. No task sees a whole shard.
+    A shard is numbered in blocks of rows with like hashes of key and order: a block is sorted in one
+    task, and the counts of the blocks before it give its first slot. No task sees a whole shard. To
+    `spread` rows that repeat key and order as well, all rows are written once with a number each;
+    that is needless where few rows can be alike in both.
     """
     order = [key, *order]
     rows = set_aside(rows, column, "slot")
     block, row, n, first, at = unused(rows, "_block", "_row", "_n", "_first", "_at")
-    placed = written(rows.withColumn(column, rendezvous(F.col(key), weights)).withColumn(row, F.monotonically_increasing_id()), "placed")
+    placed = rows.withColumn(column, rendezvous(F.col(key), weights))
+    if spread:
+        placed = written(placed.withColumn(row, F.monotonically_increasing_id()), "placed")
+    alike = [F.col(c) for c in order] + [F.col(row)] * spread
     blocks = F.lit(max(1, -(-placed.count() // BLOCK)))
-    placed = placed.withColumn(block, F.pmod(F.xxhash64(F.lit(7), *(F.col(c) for c in order), F.col(row)), blocks).cast("int"))
+    placed = placed.withColumn(block, F.pmod(F.xxhash64(F.lit(7), *alike), blocks).cast("int"))
     sizes = placed.groupBy(column, block).agg(F.count("*").alias(n))
     before = Window.partitionBy(column).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select(column, block, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
-    inside = Window.partitionBy(column, block).orderBy(*(F.col(c).asc_nulls_first() for c in order), row)
+    inside = Window.partitionBy(column, block).orderBy(*(F.col(c).asc_nulls_first() for c in order), *[row] * spread)
     numbered = placed.withColumn(at, F.row_number().over(inside))
     return numbered.join(firsts, [column, block]).withColumn("slot", (F.col(first) + F.col(at) - 1).cast("long")).drop(block, first, at, row)

@@ -90,7 +90,7 @@ def decode_frames(spark, sf_dir):
     return good.select(F.col("frame_seq").alias("seq"), F.lit("").alias("error")).unionByName(dead.select(F.col("frame_seq").alias("seq"), "error"))
 
 
-@register()
+@register(r"SELECT doc_id AS seq, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n_words FROM documents")
 def custom_decoder(spark, sf_dir):
     def words(batches):
         import zstandard
@@ -314,19 +314,20 @@ def missing_seqs(spark, sf_dir):
     return ranges.missing_seqs(fixtures.gapped(spark, sf_dir), 0, top)
 
 
-@register(_BASE + """, c AS (SELECT s_suppkey AS idx, CAST(round((s_acctbal + 1000) * 100) AS BIGINT) AS stake FROM supplier), q AS (SELECT DISTINCT checkpoint_seq AS seq, epoch FROM tx WHERE checkpoint_seq < 200),
+_STAKE = _BASE + """, c AS (SELECT s_suppkey AS idx, CAST(round((s_acctbal + 1000) * 100) AS BIGINT) AS stake FROM supplier), q AS (SELECT DISTINCT checkpoint_seq AS seq, epoch FROM tx),
   s AS (SELECT seq, epoch, count(*) AS signer_count, sum(stake) AS signed FROM q JOIN c ON (idx * 7 + seq) % 10 < 4 + seq % 5 GROUP BY ALL), t AS (SELECT sum(stake) AS total FROM c)
-  SELECT seq, epoch, signer_count, CAST(0 AS BIGINT) AS unknown_signers, CAST(signed AS BIGINT) AS signed_stake, CAST(total AS BIGINT) AS total_stake, false AS wrong_epoch, 3 * signed >= 2 * total + 1 AS passed FROM s, t""")
+  SELECT seq, epoch, signer_count, CAST(0 AS BIGINT) AS unknown_signers, CAST(signed AS BIGINT) AS signed_stake, CAST(total AS BIGINT) AS total_stake, false AS wrong_epoch, 3 * signed >= 2 * total + 1 AS passed FROM s, t"""
+
+
+@register(_STAKE)
 def signer_stake(spark, sf_dir):
-    """Checkpoints 0 to 199 only, as its SQL; signer_stake_all takes all of them."""
-    return plain(quality.signer_stake(fixtures.signatures(spark, sf_dir).where("seq < 200"), fixtures.committee(spark, sf_dir)))
+    return plain(quality.signer_stake(fixtures.signatures(spark, sf_dir), fixtures.committee(spark, sf_dir)))
 
 
-@register(_BASE + """, c AS (SELECT s_suppkey AS idx, CAST(round((s_acctbal + 1000) * 100) AS BIGINT) AS stake FROM supplier), q AS (SELECT DISTINCT checkpoint_seq AS seq, epoch FROM tx),
-  s AS (SELECT seq, epoch, count(*) AS signer_count, sum(stake) AS signed FROM q JOIN c ON (idx * 7 + seq) % 10 < 4 + seq % 5 GROUP BY ALL), t AS (SELECT sum(stake) AS total FROM c)
-  SELECT seq, epoch, signer_count, CAST(0 AS BIGINT) AS unknown_signers, CAST(signed AS BIGINT) AS signed_stake, CAST(total AS BIGINT) AS total_stake, false AS wrong_epoch, 3 * signed >= 2 * total + 1 AS passed FROM s, t""")
+@register(_STAKE)
 def signer_stake_all(spark, sf_dir):
-    return plain(quality.signer_stake(fixtures.signatures(spark, sf_dir), fixtures.committee(spark, sf_dir)))
+    """An older name of the same."""
+    return signer_stake(spark, sf_dir)
 
 
 _OTHER = "o AS (SELECT epoch, seq, CASE WHEN seq % 10 = 3 THEN length + 1 ELSE length END AS length FROM f WHERE seq % 50 <> 7 UNION ALL SELECT 9999, -1, 5)"

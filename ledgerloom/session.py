@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -21,10 +24,19 @@ def session(app: str = "ledgerloom", master: str | None = None, **conf: str) ->
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new folder's path below spark.checkpoint.dir, which driver and executors share.
 
-    Where that is unset (tests, one machine) a temporary folder serves.
+    Where that is unset a temporary folder serves, on one machine only.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("ledgerloom.scratch.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("ledgerloom.scratch.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, where it is not installed there."""
+    home = os.path.dirname(os.path.abspath(__file__))
+    packed = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spark-"), "ledgerloom"), "zip", os.path.dirname(home), os.path.basename(home))
+    spark.sparkContext.addPyFile(packed)

@@ -7,9 +7,13 @@ it. Equal lines are a class, and only its first place counts.
 
 Tokens are ordered by rarity: counts of hashed shingles in a table of fixed size, then by hash. Lines
 that match share a token among their first n - ceil(n * num / den) + 1, at places that leave
-enough tokens behind them, and their sizes are near. Each class is compared first with the
-earliest class that has one of its prefix tokens; only those that find no match there are compared
-with all earlier ones, so a group of near copies makes few pairs.
+enough tokens behind them, and their sizes are near. What two lines share before a common prefix token
+is in the prefixes of both, so only prefix tokens that are in several prefixes count there. Each class is compared first
+with the earliest class that has one of its prefix tokens; only those that find no match there are
+compared with all earlier ones, so a group of near copies makes few pairs.
+
+With five-word shingles a changed word breaks up to five tokens, so a line of 40 words with one word
+changed is no match at 0.8 (31 of 41 shingles are shared); n = 1 takes single words and finds it.
 
 Defined results: null and empty texts have one empty line; lines without words are kept; rows that
 repeat a doc_id share its places, so none of them removes a line of another at the same number.
@@ -20,12 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, set_aside, unused, written
 
-#: Counters of hashed shingles.
-COUNTERS = 1 << 15
-#: Rows of 40 bytes that may be sent to all executors, and bytes; beyond, joins shuffle both sides.
-SMALL, SMALL_BYTES = 1 << 18, 32 << 20
+#: Counters of hashed shingles, a byte each in the plan.
+COUNTERS = 1 << 18
+#: Numbers that may be sent to all executors, rows of 40 bytes, and bytes; beyond, joins shuffle both sides.
+NUMBERS, SMALL, SMALL_BYTES = 1 << 20, 1 << 18, 32 << 20
 #: In place of a null id: such rows come last.
 LAST = (1 << 63) - 1
 
@@ -35,6 +39,11 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _words(line: Column) -> Column:
+    blanks = F.regexp_replace(F.lower(line), r"[\x09-\x0D]", " ")  # splitting at one plain character needs no pattern
+    return F.filter(F.split(blanks, " "), lambda w: w != "")
+
+
 def tokens_of(line: Column, n: int) -> Column:
     """Distinct hashes of the shingles of n words of a line."""
 
@@ -43,24 +52,19 @@ def tokens_of(line: Column, n: int) -> Column:
         many = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(n)))) if n > 1 else F.transform(words, lambda w: F.xxhash64(w))
         return F.array_distinct(F.when(last >= 0, many).otherwise(F.array(F.xxhash64(F.array_join(words, " "), F.size(words)))))
 
-    return _let(F.filter(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), lambda w: w != ""), shingles)
+    return _let(_words(line), shingles)
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, row_hash, at, line, cls): cls is a hash of the line, null for lines without words."""
+    """(id, row_hash, at, line, cls) of lines with words; cls is a hash of the line."""
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(t).alias("row_hash"), F.posexplode(F.split(t, "\n")).alias("at", "line"))
-    return rows.withColumn("cls", F.when(F.col("line").rlike(WORD), F.unhex(F.md5(F.col("line")))))
-
+    return rows.where(F.col("line").rlike(WORD)).withColumn("cls", F.unhex(F.md5(F.col("line"))))
 
-def _literal(numbers: list[int], kind: str) -> Column:
-    """A constant array, folded by the optimiser: it is looked up by index and never copied."""
-    return F.from_json(F.lit("[" + ",".join(map(str, numbers)) + "]"), f"array<{kind}>")
 
-
-def _small(rows: DataFrame) -> DataFrame:
+def _few(rows: DataFrame, most: int = SMALL) -> DataFrame:
     """rows, to be broadcast if they are few."""
-    return F.broadcast(rows) if rows.count() <= SMALL else rows
+    return F.broadcast(rows) if rows.count() <= most else rows
 
 
 def _similar(a: Column, b: Column, num: int, den: int) -> Column:
@@ -68,35 +72,46 @@ def _similar(a: Column, b: Column, num: int, den: int) -> Column:
     return both * den >= (F.size(a) + F.size(b) - both) * num
 
 
-def _rarity(classes: DataFrame, counters: int) -> Column:
-    """A step of the logarithm of each counter, eight steps to a doubling."""
-    step = F.least(F.lit(255), F.floor(F.log2(F.count("*") + 1) * 8)).cast("int")
-    steps = [0] * counters
-    for r in classes.select(F.explode("tokens").alias("h")).groupBy(F.pmod("h", F.lit(counters)).cast("int").alias("k")).agg(step.alias("s")).collect():  # `counters` rows at most
-        steps[r["k"]] = r["s"]
-    return _literal(steps, "int")
+def _rarity(classes: DataFrame, n: int, counters: int) -> bytes:
+    """A step of the logarithm of each counter, four steps to a doubling, as a byte each."""
+    block = min(counters, 1 << 10)
+    words = classes.select(_words(F.col("line")).alias("w"))
+    shingles = words.select("w", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1)))).alias("i")).select(F.xxhash64(F.slice("w", F.col("i"), n)).alias("h"))
+    counted = shingles.groupBy(F.pmod("h", F.lit(counters)).alias("k")).agg(F.count("*").alias("n"))
+    every = counted.union(classes.sparkSession.range(counters).select("id", F.lit(0).cast("long"))).groupBy("k").agg(F.sum("n").alias("n"))
+    step = F.char(F.least(F.lit(126), F.floor(F.log2(F.col("n") + 1) * 4) + 1).cast("int"))
+    rows = every.groupBy(F.floor(F.col("k") / block).alias("b")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", step.alias("s")))), lambda x: x["s"]), "").alias("s"))
+    return "".join(r["s"] for r in sorted(rows.collect(), key=lambda r: r["b"])).encode()  # `counters` bytes, whatever the input
 
 
 def matches(lines: DataFrame, n: int = 5, num: int = 4, den: int = 5, counters: int = COUNTERS) -> DataFrame:
-    """(cls, id, at, late): the first place of each class of lines, and whether that has an earlier match."""
+    """(cls, id, at, late, lines): the first place of each class of lines, whether that has an earlier match, and its lines."""
     place = F.min(F.struct("id", "at")).alias("first")
-    classes = lines.where(F.col("cls").isNotNull()).groupBy("cls").agg(place, F.first("line").alias("line"))
-    classes = written(classes.select("cls", "first.id", "first.at", "line", F.monotonically_increasing_id().alias("c")), "line-classes", "zstd")
-    # a token is its rarity and 52 bits of its hash, so arrays of long sort by rarity
-    hashed = classes.select("c", "id", "at", tokens_of(F.col("line"), n).alias("tokens"))
-    rarity = _rarity(hashed, counters)
-    packed = F.sort_array(F.transform("tokens", lambda h: F.get(rarity, F.pmod(h, F.lit(counters)).cast("int")).cast("long") * (1 << 52) + F.shiftrightunsigned(h, 12)))
+    classes = lines.groupBy("cls").agg(place, F.first("line").alias("line"), F.count("*").alias("lines"))
+    classes = written(classes.select("cls", "first.*", "line", "lines", F.monotonically_increasing_id().alias("c")), "line-classes", "zstd")
+    steps = F.lit(bytearray(_rarity(classes, n, counters)))
+
+    def rank(h: Column) -> Column:
+        """Rarity above 52 bits of the hash, so arrays of long sort by rarity."""
+        return F.ascii(F.substr(steps, F.pmod(h, F.lit(counters)).cast("int") + 1, F.lit(1)).cast("string")).cast("long") * (1 << 52) + F.shiftrightunsigned(h, 12)
+
+    def prefix(size: Column) -> Column:
+        return size - F.ceil(size * F.lit(num) / F.lit(den)).cast("int") + 1
 
     def head(tokens: Column) -> Column:
         size = F.size(tokens)
-        return F.struct(size.alias("n"), F.slice(tokens, 1, size - F.ceil(size * F.lit(num) / F.lit(den)).cast("int") + 1).alias("first"))
+        return F.struct(size.alias("n"), F.slice(F.sort_array(F.transform(tokens, rank)), 1, prefix(size)).alias("first"))
 
-    postings = hashed.select("c", "id", "at", _let(packed, head).alias("x")).select("c", "id", "at", "x.n", F.posexplode("x.first").alias("i", "token"))
-    postings = written(postings.withColumn("many", F.expr("count(*) over (partition by token)")).where("many > 1").drop("many"), "line-postings")
+    heads = written(classes.select("c", "id", "at", _let(tokens_of(F.col("line"), n), head).alias("x")).select("c", "id", "at", "x.*"), "line-heads")
+    postings = heads.select("c", "id", "at", "n", F.posexplode("first").alias("i", "token"))
+    repeated = written(postings.groupBy("token").agg(F.count("*").alias("many")).where("many > 1").select("token"), "line-repeated")
+    held = postings.join(_few(repeated, NUMBERS), "token", "left_semi").groupBy("c", "id", "at", "n").agg(F.collect_list(F.struct("i", "token")).alias("held"))
+    # k: how many tokens before this one are in other prefixes too
+    postings = written(held.select("c", "id", "at", "n", F.posexplode(F.sort_array("held")).alias("k", "h")).select("c", "id", "at", "n", "k", "h.*"), "line-postings")
 
     def near(a: str, b: str) -> Column:
         """Length and positional filters on postings of one token: what may still overlap suffices."""
-        rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.i"), F.col(f"{b}.n") - F.col(f"{b}.i")) + F.least(F.col(f"{a}.i"), F.col(f"{b}.i"))
+        rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.i"), F.col(f"{b}.n") - F.col(f"{b}.i")) + F.least(F.col(f"{a}.k"), F.col(f"{b}.k"))
         return rest * (num + den) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * num
 
     def earlier(a: str, b: str) -> Column:
@@ -106,31 +121,37 @@ def matches(lines: DataFrame, n: int = 5, num: int = 4, den: int = 5, counters:
     def verified(pairs: DataFrame) -> DataFrame:
         """c of the pairs (c, d) whose token sets match."""
         pairs = written(pairs.distinct(), "line-pairs")
-        wanted = _small(pairs.select(F.explode(F.array("c", "d")).alias("c")).distinct())
+        wanted = _few(pairs.select(F.explode(F.array("c", "d")).alias("c")).distinct(), NUMBERS)
         sets = classes.join(wanted, "c", "left_semi").select("c", tokens_of(F.col("line"), n).alias("tokens"))
         both = pairs.join(sets.withColumnRenamed("tokens", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("tokens").alias("y")), "d")
         return both.where(_similar(F.col("x"), F.col("y"), num, den)).select("c").distinct()
 
-    heads = postings.groupBy("token").agg(F.min(F.struct("id", "at", "c", "n", "i")).alias("h")).select("token", *(F.col(f"h.{x}").alias(x) for x in ("id", "at", "c", "n", "i")))
-    star = postings.alias("p").join(heads.alias("q"), "token").where(earlier("p", "q") & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
+    first = ("id", "at", "c", "n", "i", "k")
+    earliest = postings.groupBy("token").agg(F.min(F.struct(*first)).alias("h")).select("token", "h.*")
+    star = postings.alias("p").join(earliest.alias("q"), "token").where(earlier("p", "q") & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
     done = written(verified(star), "line-done")
-    open_ = postings.join(_small(done), "c", "left_anti")
+    open_ = postings.join(_few(done, NUMBERS), "c", "left_anti")
     rest = open_.alias("p").join(postings.alias("q"), "token").where(earlier("p", "q") & near("p", "q")).select(F.col("p.c").alias("c"), F.col("q.c").alias("d"))
     late = done.union(verified(rest))
-    return classes.select("c", "cls", "id", "at").join(late.withColumn("late", F.lit(True)), "c", "left").select("cls", "id", "at", F.coalesce("late", F.lit(False)).alias("late"))
+    return classes.select("c", "cls", "id", "at", "lines").join(late.withColumn("late", F.lit(True)), "c", "left").select("cls", "id", "at", F.coalesce("late", F.lit(False)).alias("late"), "lines")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """docs with the later of matching lines taken out of its text, plus n_lines and removed (their numbers)."""
+    """docs with the later of matching lines taken out of its text, plus n_lines and removed (their numbers).
+
+    Columns of these names go on as <name>_in.
+    """
+    docs = set_aside(docs, *(c for c in ("n_lines", "removed") if c not in (key, text)))
+    id_, hash_ = unused(docs, "_id", "_hash")
     lines = _lines(docs, key, text)
-    verdict = matches(lines, n, num, den).select("cls", F.col("id").alias("_id"), F.col("at").alias("_at"), "late")
+    verdict = written(matches(lines, n, num, den).where("late OR lines > 1").select("cls", F.col("id").alias("_id"), F.col("at").alias("_at"), "late"), "line-verdict")
     later = (F.col("id") > F.col("_id")) | ((F.col("id") == F.col("_id")) & (F.col("at") > F.col("_at")))
-    judged = lines.select("id", "row_hash", "at", "cls").where("cls IS NOT NULL").join(verdict, "cls").where(F.col("late") | later)
-    gone = written(judged.groupBy("id", "row_hash").agg(F.array_sort(F.collect_set("at")).alias("removed")).select(F.col("id").alias("_id"), F.col("row_hash").alias("_hash"), "removed"), "line-gone")
+    judged = lines.select("id", "row_hash", "at", "cls").join(_few(verdict), "cls").where(F.col("late") | later)
+    gone = written(judged.groupBy("id", "row_hash").agg(F.array_sort(F.collect_set("at")).alias("removed")).select(F.col("id").alias(id_), F.col("row_hash").alias(hash_), "removed"), "line-gone")
     if gone.agg(F.coalesce(F.sum(4 * F.size("removed") + 48), F.lit(0))).first()[0] <= SMALL_BYTES:
         gone = F.broadcast(gone)  # the texts need not be shuffled then
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.join(gone, (F.xxhash64(t) == F.col("_hash")) & (F.coalesce(F.col(key).cast("long"), F.lit(LAST)) == F.col("_id")), "left").drop("_hash", "_id")
+    out = docs.join(gone, (F.xxhash64(t) == F.col(hash_)) & (F.coalesce(F.col(key).cast("long"), F.lit(LAST)) == F.col(id_)), "left").drop(hash_, id_)
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     parts = F.split(t, "\n")
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(removed, i)), "\n")

@@ -290,6 +290,28 @@ def test_lines_of_awkward_rows(spark, awkward, empty):
     assert {"lang", "source", "note"} <= set(line_dedup.dedup_lines(awkward).columns)
 
 
+def test_lines_clashing_columns(spark):
+    """Columns named like the operator's own stay as they are; those of its outputs go on as <name>_in."""
+    text = "one two three four five six\nsame words on this line here\nsame words on this line here"
+    df = spark.createDataFrame([(1, text, 7, 8, 9, 10, 11)], "doc_id long, text string, _id int, _hash int, removed int, n_lines int, c int")
+    (r,) = line_dedup.dedup_lines(df).collect()
+    assert (r["removed"], r["n_lines"]) == ([2], 3)
+    assert (r["_id"], r["_hash"], r["removed_in"], r["n_lines_in"], r["c"]) == (7, 8, 9, 10, 11)
+
+
+def test_lines_of_variants_that_share_a_prefix(spark):
+    """Variants of one line, each too far from the first but some near to another."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(48)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rnd.choice((1, 1, 2))):
+            w[rnd.randrange(48)] = rnd.choice(("x", "y", f"z{i}"))
+        rows.append((i, " ".join(w)))
+    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows)
+
+
 def test_lines_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     gone = dict(zip(docs, brute_lines(list(docs.items()))))

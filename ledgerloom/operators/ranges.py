@@ -12,6 +12,8 @@ PART = 32 << 20
 SMALL = 1 << 16
 #: Sequence numbers of a bucket in that join.
 BUCKET = 1 << 20
+#: Sequence numbers of a block in which offsets are summed.
+BLOCK = 1 << 12
 
 
 def locate_epoch(df: DataFrame, manifest: DataFrame, seq_col: str = "seq") -> DataFrame:
@@ -55,10 +57,25 @@ def missing_seqs(frames: DataFrame, from_: int, to: int) -> DataFrame:
     return frames.sparkSession.range(from_, to + 1).select(F.col("id").alias("seq")).join(frames.select("seq"), "seq", "left_anti")
 
 
+def frame_places(frames: DataFrame) -> DataFrame:
+    """frames plus block, offset (bytes of the epoch's frames before) and rank (their number), in blocks of sequence numbers.
+
+    Sums over blocks come first, as few narrow rows; a window holds one block, never an epoch.
+    """
+    placed = frames.withColumn("block", F.floor(F.col("seq") / BLOCK))
+    sums = placed.groupBy("epoch", "block").agg(F.sum("length").alias("bytes"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("epoch").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    starts = sums.select("epoch", "block", begin("bytes").alias("block_offset"), begin("n").alias("block_rank"))
+    inside = Window.partitionBy("epoch", "block").orderBy("seq")
+    before = F.coalesce(F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = placed.join(starts, ["epoch", "block"]).withColumn("offset", (F.col("block_offset") + before).cast("bigint"))
+    return out.withColumn("rank", (F.col("block_rank") + F.row_number().over(inside) - 1).cast("bigint")).drop("block_rank").select(*frames.columns, "block", "block_offset", "offset", "rank")
+
+
 def frame_offsets(frames: DataFrame) -> DataFrame:
     """frames plus their byte offset in the epoch's archive."""
-    before = Window.partitionBy("epoch").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return frames.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("bigint"))
+    return frame_places(frames).select(*frames.columns, "offset")
 
 
 def pack_parts(offsets: DataFrame, part_bytes: int = PART) -> DataFrame:

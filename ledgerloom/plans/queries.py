@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -66,10 +66,30 @@ def _index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OFFSETS = _F + "SELECT epoch, seq, length, CAST(coalesce(sum(length) OVER (PARTITION BY epoch ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM f"
 
 
-@register(_F + "SELECT seq, length, length >= 10 AS is_valid FROM f")
+def _quarters(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """From the first to the last quarter of all sequence numbers."""
+    a, b = fixtures.manifest(spark, sf_dir).agg(F.min("first_seq"), F.max("last_seq")).first()
+    return (0, -1) if a is None else (a + (b - a) // 4, b - (b - a) // 4)
+
+
+_QUARTERS = ", q AS (SELECT min(seq) + (max(seq) - min(seq)) // 4 AS lo, max(seq) - (max(seq) - min(seq)) // 4 AS hi FROM f) "
+
+
+@register("SELECT doc_id AS seq, octet_length(encode(coalesce(text, ''))) > 0 AS is_valid, md5(coalesce(text, '')) AS md5 FROM documents")
 def frame_files(spark, sf_dir):
-    frames = fixtures.frames(spark, sf_dir)
-    return frames.select("seq", "length", (F.octet_length("body") >= archive.LEAST).alias("is_valid"))
+    """A file for each frame, written by the executors, read back and inflated. The frame of an empty body has nine bytes, so it is no valid one."""
+    path = scratch(spark, "frame-files")
+    archive.write_frame_files(_packed(spark, sf_dir), path)
+
+    def inflate(batches):
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            yield b[["seq", "is_valid"]].assign(body=[z.decompress(bytes(c), max_output_size=1 << 30) for c in b["content"]])
+
+    got = archive.custom_decoder(archive.frame_files(spark, path).select("seq", "is_valid", "content"), inflate, "seq bigint, is_valid boolean, body binary")
+    return got.select("seq", "is_valid", F.md5("body").alias("md5"))
 
 
 @register(_OFFSETS)
@@ -77,17 +97,42 @@ def epoch_index(spark, sf_dir):
     return plain(archive.parse_index(_index_files(spark, sf_dir), F.col("epoch"))).select("epoch", "seq", "length", "offset")
 
 
-@register(_F + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, length, h AS md5 FROM f JOIN d ON seq = doc_id WHERE seq BETWEEN 50 AND 749")
+@register(_F + _QUARTERS + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, length, h AS md5 FROM f JOIN d ON seq = doc_id WHERE seq BETWEEN (SELECT lo FROM q) AND (SELECT hi FROM q)")
 def epoch_frames(spark, sf_dir):
-    got = archive.epoch_frames(spark, _archived(spark, sf_dir), 50, 749)
+    got = archive.epoch_frames(spark, _archived(spark, sf_dir), *_quarters(spark, sf_dir))
     return got.select("epoch", "seq", F.octet_length("body").cast("bigint").alias("length"), F.md5("body").alias("md5"))
 
 
-@register()
+def _varint(v: Column) -> Column:
+    """Protobuf bytes of a number from 0 to 2^42 - 1."""
+    digit = lambda k: F.lpad(F.hex(F.shiftright(v, 7 * k).bitwiseAND(F.lit(127)) + F.when(F.shiftright(v, 7 * k + 7) > 0, 128).otherwise(0)), 2, "0")
+    return F.unhex(F.concat(digit(0), *(F.when(F.shiftright(v, 7 * k) > 0, digit(k)).otherwise("") for k in range(1, 6))))
+
+
+def _field(number: int, value: Column, kind: int = 2) -> Column:
+    """A field of a message: bytes (kind 2), or a number that _varint packs (kind 0)."""
+    tag = F.lit(bytearray([number << 3 | kind]))
+    return F.concat(tag, _varint(F.octet_length(value).cast("bigint")), value) if kind == 2 else F.concat(tag, _varint(value))
+
+
+@register(r"""SELECT doc_id AS seq, CASE WHEN doc_id % 3 <> 0 THEN CAST(floor(doc_id / 100) AS BIGINT) END AS epoch, CASE WHEN doc_id % 3 <> 0 THEN md5(coalesce(text, '')) END AS summary,
+  CASE WHEN doc_id % 3 <> 0 THEN md5(CAST(doc_id AS STRING)) || md5(CAST(doc_id AS STRING)) || md5(CAST(doc_id AS STRING)) END AS sig, CASE WHEN doc_id % 3 <> 0 THEN substr(md5(CAST(doc_id AS STRING)), 1, 8) END AS bitmap,
+  CASE WHEN doc_id % 9 = 0 THEN 'ValueError: the signature has 47 bytes' WHEN doc_id % 9 = 3 THEN 'ValueError: no summary' WHEN doc_id % 9 = 6 THEN 'no frame' END AS error FROM documents""")
 def decode_frames(spark, sf_dir):
-    """Frames that are text are no envelopes, so all are dead letters, with the reason."""
-    good, dead = archive.decode_frames(_packed(spark, sf_dir))
-    return good.select(F.col("frame_seq").alias("seq"), F.lit("").alias("error")).unionByName(dead.select(F.col("frame_seq").alias("seq"), "error"))
+    """A frame for each document: two of three are envelopes with its text as summary, the others are broken in three ways."""
+    h, left = F.unhex(F.md5(F.col("seq").cast("string").cast("binary"))), F.col("seq") % 9
+    none = F.lit(bytearray())
+    sig = F.concat(_field(1, F.col("epoch"), 0), _field(2, F.substring(F.concat(h, h, h), 1, F.when(left == 0, 47).otherwise(48))), _field(3, F.substring(h, 1, 4)))
+    body = F.concat(_field(1, F.col("seq"), 0), F.when(left == 3, none).otherwise(_field(3, _field(1, _field(2, F.col("body"))))), _field(4, sig))
+    frames = archive.compressed(fixtures.frames(spark, sf_dir).withColumn("body", body))
+    frames = frames.withColumn("content", F.when(left == 6, F.substring("content", 2, 1 << 30)).otherwise(F.col("content")))
+    path = scratch(spark, "envelopes")
+    frames.write.parquet(path)
+    good, dead = archive.decode_frames(spark.read.parquet(path))
+    null = F.lit(None).cast("string")
+    ok = good.select("seq", F.col("sig_epoch").alias("epoch"), F.md5("summary").alias("summary"), F.lower(F.hex("sig")).alias("sig"), F.lower(F.hex("bitmap")).alias("bitmap"), null.alias("error"))
+    said = F.when(F.col("error").startswith("ValueError"), F.col("error")).otherwise("no frame")  # else in the words of the zstd library
+    return ok.unionByName(dead.select(F.col("frame_seq").alias("seq"), F.lit(None).cast("bigint").alias("epoch"), null.alias("summary"), null.alias("sig"), null.alias("bitmap"), said.alias("error")))
 
 
 @register(r"SELECT doc_id AS seq, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS n_words FROM documents")
@@ -107,9 +152,9 @@ def locate_epoch(spark, sf_dir):
     return ranges.locate_epoch(fixtures.frames(spark, sf_dir).select("seq"), fixtures.manifest(spark, sf_dir)).select("epoch", "seq")
 
 
-@register(_F + ", m AS (SELECT epoch, min(seq) AS a, max(seq) AS b FROM f GROUP BY epoch) SELECT epoch, greatest(a, 150) AS start_seq, least(b, 730) AS end_seq FROM m WHERE a <= 730 AND b >= 150")
+@register(_F + _QUARTERS + ", m AS (SELECT epoch, min(seq) AS a, max(seq) AS b FROM f GROUP BY epoch) SELECT epoch, greatest(a, lo) AS start_seq, least(b, hi) AS end_seq FROM m, q WHERE a <= hi AND b >= lo")
 def clip_epoch_ranges(spark, sf_dir):
-    return ranges.clip_epoch_ranges(fixtures.manifest(spark, sf_dir), 150, 730)
+    return ranges.clip_epoch_ranges(fixtures.manifest(spark, sf_dir), *_quarters(spark, sf_dir))
 
 
 @register(_F + ", m AS (SELECT epoch, min(seq) AS first_seq FROM f GROUP BY epoch) SELECT epoch, first_seq, lead(first_seq) OVER (ORDER BY epoch) - 1 AS last_seq, lead(first_seq) OVER (ORDER BY epoch) IS NOT NULL AS complete FROM m")
@@ -117,9 +162,10 @@ def epoch_bounds(spark, sf_dir):
     return ranges.epoch_bounds(fixtures.manifest(spark, sf_dir).select("epoch", "first_seq"))
 
 
-@register(_F + "SELECT epoch, seq, length FROM f WHERE epoch = 3")
+@register(_F + _QUARTERS + "SELECT epoch, seq, length FROM f, q WHERE seq BETWEEN lo AND hi")
 def epoch_range_select(spark, sf_dir):
-    return ranges.epoch_range_select(fixtures.frames(spark, sf_dir).drop("body"), fixtures.manifest(spark, sf_dir), epoch=3)
+    a, b = _quarters(spark, sf_dir)
+    return ranges.epoch_range_select(fixtures.frames(spark, sf_dir).drop("body"), fixtures.manifest(spark, sf_dir), from_=a, to=b)
 
 
 def _nations(spark, sf_dir) -> dict[str, DataFrame]:
@@ -424,10 +470,10 @@ def union_records(spark, sf_dir):
     return u.select(F.col("table").alias("tbl"), key.alias("key"), F.coalesce(F.get_json_object("row_json", "$.n_name"), F.get_json_object("row_json", "$.c_name")).alias("name"))
 
 
-@register("SELECT 'nation' AS tbl, CAST(n_nationkey AS BIGINT) AS key FROM nation")
+@register("SELECT 'customer' AS tbl, c_custkey AS key FROM customer")
 def table_filter(spark, sf_dir):
-    kept = records.table_filter(_nations(spark, sf_dir), ["nation"])
-    return records.union_records(kept).select(F.col("table").alias("tbl"), F.get_json_object("row_json", "$.n_nationkey").cast("bigint").alias("key"))
+    kept = records.table_filter(_nations(spark, sf_dir), ["customer"])
+    return records.union_records(kept).select(F.col("table").alias("tbl"), F.get_json_object("row_json", "$.c_custkey").cast("bigint").alias("key"))
 
 
 @register("SELECT 'ledger.nation' AS topic, CAST(n_nationkey AS STRING) AS key, n_name AS name FROM nation UNION ALL SELECT 'ledger.customer', CAST(c_custkey AS STRING), c_name FROM customer")
@@ -444,6 +490,14 @@ def sink_epoch_archive(spark, sf_dir):
     return archive.epoch_frames(spark, path, 0, (1 << 62)).select("epoch", "seq", F.md5("body").alias("md5"))
 
 
+@register(_F + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, h AS md5 FROM f JOIN d ON seq = doc_id")
+def sink_epoch_files(spark, sf_dir):
+    """The same in the form of files, through the data source."""
+    path = scratch(spark, "epochs")
+    archive.sink_epoch_files(_packed(spark, sf_dir), path, 1 << 18)
+    return spark.read.format("epoch_archive").load(path).select("epoch", "seq", F.md5("body").alias("md5"))
+
+
 @register(_F + ", m AS (SELECT epoch, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS count, CAST(sum(length) AS BIGINT) AS zst_bytes FROM f GROUP BY epoch) SELECT epoch, first_seq, last_seq, CASE WHEN epoch % 2 = 0 THEN count + 1 ELSE count END AS count, zst_bytes, CASE WHEN epoch % 2 = 0 THEN 'new' ELSE 'old' END AS zst_sha256 FROM m WHERE epoch > 0")
 def upsert_manifest(spark, sf_dir):
     m = fixtures.manifest(spark, sf_dir).where("epoch > 0")
@@ -455,11 +509,11 @@ def sink_jsonl_tagged(spark, sf_dir):
     return read_tagged_jsonl(spark, sf_dir)
 
 
-@register("SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+@register("SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
 def sink_jsonl_single(spark, sf_dir):
     tables, path = _nations(spark, sf_dir), scratch(spark, "single")
-    records.sink_jsonl_single(tables, "nation", path)
-    return plain(spark.read.schema(tables["nation"].schema).json(path))
+    records.sink_jsonl_single(tables, "customer", path)
+    return plain(spark.read.schema(tables["customer"].schema).json(path)).select("c_custkey", "c_name", "c_nationkey")
 
 
 @register(_ROUND_TRIP)

@@ -1,14 +1,16 @@
 """Frames in files: one by one, or packed into epoch archives with a byte-offset index.
 
-An archive is a folder with, for each epoch, part files of concatenated zstd frames and one index
-file of 20-byte entries (seq and offset as 8, length as 4 bytes, little-endian). Offsets run on
-over an epoch's parts; a part's name holds the offset at which it begins, and parts are cut
-between frames, so each frame is read from one file. Readers and writers go through Spark's own
-file sources, and whatever store Spark can reach will do.
+An archive has two forms. As files it is {epoch}.zst, the epoch's zstd frames one behind the other,
+and {epoch}.idx, entries of 20 bytes (seq and offset as 8, length as 4 bytes, little-endian); the
+data source `epoch_archive` reads and writes it on a file system that all machines mount. As a
+table, for any store that Spark can reach, it has a row for each part of an epoch: where the part
+begins, its sequence numbers, the entries of its frames, and their bytes. Parts are cut between
+frames, so each frame is read from one part, and neither a task nor a cell holds an epoch.
 """
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Callable, Iterator
@@ -16,22 +18,49 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.window import Window
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+
+from ..operators.ranges import frame_places
 
 ENTRY = 20
 #: A body of fewer bytes is no frame.
 LEAST = 10
 #: Bytes that one task reads from an archive.
 RUN = 16 << 20
+#: Epochs that a reader names to the scan; of more, only the range is pushed down.
+EPOCHS = 1 << 12
 
 
 def frame_files(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, content, length, is_valid) of files named {seq}.binpb.zst."""
+    """(seq, content, length, is_valid) of files named {seq}.binpb.zst; Spark passes files without a byte by."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.binpb.zst").load(path)
     return files.select(F.regexp_extract("path", r"(\d+)\.binpb\.zst$", 1).cast("bigint").alias("seq"), "content", "length", (F.col("length") >= LEAST).alias("is_valid"))
 
 
+def write_frame_files(frames: DataFrame, path: str) -> None:
+    """Write frames (seq, content) as {seq}.binpb.zst to a folder that all machines mount."""
+    folder = local_path(path)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(folder, exist_ok=True)
+        for b in batches:
+            for seq, content in zip(b["seq"], b["content"]):
+                part = f"{folder}/.{seq}.{uuid.uuid4().hex}"  # a task that is run again replaces whole files
+                with open(part, "wb") as f:
+                    f.write(content)
+                os.replace(part, f"{folder}/{seq}.binpb.zst")
+            yield pd.DataFrame({"n": [len(b)]})
+
+    frames.select("seq", "content").mapInPandas(write, "n bigint").write.format("noop").mode("overwrite").save()
+
+
+def local_path(path: str) -> str:
+    """The path on a mounted file system; other stores are an error."""
+    if "://" in path and not path.startswith("file://"):
+        raise ValueError(f"{path} is on no mounted file system")
+    return path.removeprefix("file://") if path.startswith("file://") else path.removeprefix("file:")
+
+
 def _little(binary: Column, at: Column, n: int) -> Column:
     """Unsigned little-endian integer of n bytes at a place counted from 0."""
     digits = F.concat(*(F.hex(F.substring(binary, at + (k + 1), F.lit(1))) for k in reversed(range(n))))
@@ -91,110 +120,196 @@ def upsert_manifest(existing: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*names).unionByName(new.select(*names))
 
 
-def sink_epoch_archive(frames: DataFrame, path: str, per_part: int = 32 << 20) -> DataFrame:
-    """Write frames (epoch, seq, content, length) as an archive; returns its manifest after a check.
+def archive_parts(frames: DataFrame, per_part: int = 32 << 20) -> DataFrame:
+    """(epoch, begin, rank, first_seq, last_seq, bytes, entries, data) of frames (epoch, seq, content, length).
 
-    Data parts and index entries are tables: (epoch, part, first offset, bytes) and entries. A part is
-    assembled by one task from the frames that begin in it, so a part is bounded, an epoch is not.
+    A block's frames are cut into parts of some per_part bytes; contents are shuffled once, by block.
     """
-    spark = frames.sparkSession
-    before = Window.partitionBy("epoch").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    placed = frames.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("bigint")).withColumn("part", F.floor(F.col("offset") / F.lit(per_part)))
-    parts = placed.groupBy("epoch", "part").agg(
-        F.min("offset").alias("begin"),
+    placed = frame_places(frames.select("epoch", "seq", "length", "content")).withColumn("part", F.floor((F.col("offset") - F.col("block_offset")) / F.lit(per_part)))
+    entry = F.struct("seq", "offset", "length", F.sha2("content", 256).alias("sha256"))
+    parts = placed.groupBy("epoch", "block", "part").agg(
+        F.min("offset").alias("begin"), F.min("rank").alias("rank"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.array_sort(F.collect_list(entry)).alias("entries"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.col("content").cast("string").alias("c")))), lambda x: x["c"]), "").cast("binary").alias("data"),
-        F.array_sort(F.collect_list(F.struct("seq", "offset", "length"))).alias("entries"),
     )
-    parts.select("epoch", "part", "begin", "data").write.partitionBy("epoch").parquet(f"{path}/data")
+    return parts.select("epoch", "begin", "rank", "first_seq", "last_seq", F.octet_length("data").cast("bigint").alias("bytes"), "entries", "data")
 
-    @F.pandas_udf("binary")
-    def packed(seq: pd.Series, offset: pd.Series, length: pd.Series) -> pd.Series:
-        return pd.Series([pack_index(list(zip(a, b, c))) for a, b, c in zip(seq, offset, length)])
-
-    entries = spark.read.parquet(f"{path}/data").select("epoch", "part", "begin").join(placed.select("epoch", "part", "seq", "offset", "length"), ["epoch", "part"])
-    index = entries.groupBy("epoch", "part").agg(F.array_sort(F.collect_list(F.struct("seq", "offset", "length"))).alias("e"))
-    index = index.select("epoch", "part", packed(F.col("e.seq"), F.col("e.offset"), F.col("e.length")).alias("content"))
-    index.write.partitionBy("epoch").parquet(f"{path}/index")
-    manifest = epoch_manifest(frames.withColumn("sha256", F.sha2("content", 256)))
-    wrote = spark.read.parquet(f"{path}/data").groupBy("epoch").agg(F.sum(F.octet_length("data")).alias("_bytes"))
-    short = manifest.join(wrote, "epoch", "left").where(~F.col("_bytes").eqNullSafe(F.col("zst_bytes")))
+
+def sink_epoch_archive(frames: DataFrame, path: str, per_part: int = 32 << 20) -> DataFrame:
+    """Write frames (epoch, seq, content, length) as an archive table; returns its manifest after a check of the sizes."""
+    spark = frames.sparkSession
+    archive_parts(frames, per_part).write.partitionBy("epoch").parquet(path)
+    parts = _parts(spark, path)
+    manifest = epoch_manifest(parts.select("epoch", F.explode("entries").alias("e")).select("epoch", "e.*"), per_part)
+    wrote = parts.groupBy(F.col("epoch").alias("_epoch")).agg(F.sum("bytes").alias("_bytes"))
+    short = manifest.join(wrote, F.col("epoch") == F.col("_epoch"), "left").where(~F.col("_bytes").eqNullSafe(F.col("zst_bytes")))
     if not short.isEmpty():
         raise RuntimeError("an archive holds other sizes than its manifest")
     return manifest
 
 
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("epoch", F.col("epoch").cast("bigint"))
+
+
 def archive_index(spark: SparkSession, path: str) -> DataFrame:
-    return parse_index(spark.read.parquet(f"{path}/index"), F.col("epoch"))
+    """(epoch, seq, offset, length) of an archive table; no contents are read."""
+    return _parts(spark, path).select("epoch", F.explode("entries").alias("e")).select("epoch", "e.seq", "e.offset", "e.length")
 
 
-def epoch_frames(spark: SparkSession, path: str, from_: int, to: int) -> DataFrame:
-    """(epoch, seq, body) of the frames in [from_, to]: the index names the parts, only their rows are read and inflated."""
-    index = archive_index(spark, path).where(F.col("seq").between(from_, to)).select("epoch", F.col("seq").cast("bigint").alias("seq"), F.col("offset").cast("bigint").alias("offset"), "length")
-    data = spark.read.parquet(f"{path}/data")
-    ends = data.select(F.col("epoch").cast("bigint").alias("epoch"), "part", "begin", F.octet_length("data").alias("n"))
-    where = index.join(ends, (index["epoch"] == ends["epoch"]) & (F.col("offset") >= F.col("begin")) & (F.col("offset") < F.col("begin") + F.col("n"))).select(index["epoch"], "part", "seq", (F.col("offset") - F.col("begin")).alias("at"), "length")
-    wanted = where.groupBy("epoch", "part").agg(F.collect_list(F.struct("seq", "at", "length")).alias("e"))
-    rows = data.select(F.col("epoch").cast("bigint").alias("epoch"), "part", "data").join(wanted, ["epoch", "part"])
+def _inflated(parts: DataFrame) -> DataFrame:
+    """(epoch, seq, body) of the entries `wanted` of parts (epoch, begin, data, wanted)."""
 
     def inflate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 
         z = zstandard.ZstdDecompressor()
         for b in batches:
-            for epoch, data_, e in zip(b["epoch"], b["data"], b["e"]):
-                d = memoryview(bytes(data_))
-                yield pd.DataFrame([(epoch, x["seq"], z.decompress(d[x["at"] : x["at"] + x["length"]], max_output_size=1 << 30)) for x in e], columns=["epoch", "seq", "body"])
+            for epoch, begin, data, wanted in zip(b["epoch"], b["begin"], b["data"], b["wanted"]):
+                d = memoryview(bytes(data))
+                for k in range(0, len(wanted), 256):
+                    yield pd.DataFrame([(epoch, x["seq"], z.decompress(d[x["offset"] - begin : x["offset"] - begin + x["length"]], max_output_size=1 << 30)) for x in wanted[k : k + 256]], columns=["epoch", "seq", "body"])
+
+    return parts.select("epoch", "begin", "data", "wanted").mapInPandas(inflate, "epoch bigint, seq bigint, body binary")
+
+
+def epoch_frames(spark: SparkSession, path: str, from_: int, to: int) -> DataFrame:
+    """(epoch, seq, body) of the frames in [from_, to]; a part's first and last seq are pushed down, and nothing is shuffled."""
+    hit = _parts(spark, path).where((F.col("last_seq") >= from_) & (F.col("first_seq") <= to))
+    wanted = F.filter("entries", lambda e: e["seq"].between(from_, to))
+    return _inflated(hit.withColumn("wanted", F.transform(wanted, lambda e: F.struct(e["seq"].alias("seq"), e["offset"].alias("offset"), e["length"].alias("length")))))
+
 
-    return rows.select("epoch", "data", "e").mapInPandas(inflate, "epoch bigint, seq bigint, body binary")
+def frames_of(spark: SparkSession, path: str, seqs: DataFrame) -> DataFrame:
+    """(epoch, seq, body) of the frames whose seq is in seqs. Entries are looked up first; contents are read of their epochs alone."""
+    ends = seqs.agg(F.min("seq").alias("a"), F.max("seq").alias("b")).first()
+    parts = _parts(spark, path)
+    span = parts.where((F.col("last_seq") >= F.lit(ends["a"])) & (F.col("first_seq") <= F.lit(ends["b"])))
+    entries = span.select("epoch", "begin", F.explode("entries").alias("e")).select("epoch", "begin", "e.seq", "e.offset", "e.length")
+    wanted = entries.join(seqs.select("seq").distinct(), "seq", "left_semi").groupBy("epoch", "begin").agg(F.collect_list(F.struct("seq", "offset", "length")).alias("wanted"))
+    epochs = [r["epoch"] for r in wanted.select("epoch").distinct().limit(EPOCHS + 1).collect()]
+    if len(epochs) <= EPOCHS:
+        span = span.where(F.col("epoch").isin(epochs))
+    return _inflated(span.select("epoch", "begin", "data").join(wanted, ["epoch", "begin"]))
 
 
 class _Run(InputPartition):
-    def __init__(self, epoch: int, entries: list[tuple[int, int, int]]):
-        self.epoch, self.entries = epoch, entries
+    """Entries a to b of an epoch's index."""
+
+    def __init__(self, epoch: int, a: int, b: int):
+        self.epoch, self.a, self.b = epoch, a, b
 
 
 class _ArchiveReader(DataSourceReader):
+    """Index files are searched by halving, so the driver holds no entries, only where runs begin."""
+
     def __init__(self, options: dict):
-        self.path, self.first, self.last = options["path"].removeprefix("file://"), int(options.get("from", 0)), int(options.get("to", (1 << 64) - 1))
+        self.path, self.first, self.last = local_path(options["path"]), int(options.get("from", 0)), int(options.get("to", (1 << 64) - 1))
         self.run = int(options.get("runBytes", RUN))
 
     def partitions(self) -> list[InputPartition]:
-        import os
-
         out = []
         for name in sorted(os.listdir(self.path)):
             if not name.endswith(".idx"):
                 continue
-            with open(f"{self.path}/{name}", "rb") as f:
-                data = f.read()
-            if len(data) % ENTRY:
+            size, epoch = os.path.getsize(f"{self.path}/{name}"), int(name[:-4])
+            if size % ENTRY:
                 raise ValueError(f"{name}: size is no multiple of {ENTRY}")
-            run, size = [], 0
-            for e in struct.iter_unpack("<QQI", data):
-                if self.first <= e[0] <= self.last:
-                    run.append(e)
-                    size += e[2]
-                    if size >= self.run:
-                        out.append(_Run(int(name[:-4]), run))
-                        run, size = [], 0
-            if run:
-                out.append(_Run(int(name[:-4]), run))
+            n = size // ENTRY
+            with open(f"{self.path}/{name}", "rb") as f:
+                a, b = self._before(f, n, self.first), self._before(f, n, self.last + 1)
+            step = max(1, n * self.run // max(1, os.path.getsize(f"{self.path}/{epoch}.zst")))
+            out += [_Run(epoch, k, min(k + step, b)) for k in range(a, b, step)]
         return out
 
+    @staticmethod
+    def _before(f, n: int, seq: int) -> int:
+        """How many of the n entries have a smaller seq."""
+        low, high = 0, n
+        while low < high:
+            mid = (low + high) // 2
+            f.seek(mid * ENTRY)
+            if struct.unpack("<Q", f.read(8))[0] < seq:
+                low = mid + 1
+            else:
+                high = mid
+        return low
+
     def read(self, partition: _Run) -> Iterator[tuple]:
         import zstandard
 
-        z = zstandard.ZstdDecompressor()
-        with open(f"{self.path}/{partition.epoch}.zst", "rb") as f:
-            for seq, offset, length in partition.entries:
+        z, p = zstandard.ZstdDecompressor(), partition
+        with open(f"{self.path}/{p.epoch}.idx", "rb") as index, open(f"{self.path}/{p.epoch}.zst", "rb") as f:
+            index.seek(p.a * ENTRY)
+            for seq, offset, length in struct.iter_unpack("<QQI", index.read((p.b - p.a) * ENTRY)):
                 f.seek(offset)
-                yield partition.epoch, seq, z.decompress(f.read(length), max_output_size=1 << 30)
+                yield p.epoch, seq, z.decompress(f.read(length), max_output_size=1 << 30)
+
+
+class _Wrote(WriterCommitMessage):
+    def __init__(self, sizes: dict[int, tuple[int, int]]):
+        self.sizes = sizes
+
+
+def _put(path: str, data: bytes, at: int) -> None:
+    fd = os.open(path, os.O_CREAT | os.O_WRONLY, 0o644)
+    try:
+        view = memoryview(data)
+        while len(view):
+            n = os.pwrite(fd, view, at)
+            view, at = view[n:], at + n
+    finally:
+        os.close(fd)
+
+
+class _ArchiveWriter(DataSourceWriter):
+    """Each part goes to its own place in its epoch's files, so tasks run again write the same bytes there.
+
+    The files get their names once all parts are there and their sizes are right, the index last.
+    """
+
+    def __init__(self, options: dict, overwrite: bool):
+        self.path, self.overwrite, self.mark = local_path(options["path"]), overwrite, f".{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator) -> _Wrote:
+        os.makedirs(self.path, exist_ok=True)
+        sizes: dict[int, tuple[int, int]] = {}
+        for row in iterator:
+            epoch = row["epoch"]
+            _put(f"{self.path}/{epoch}.zst{self.mark}", bytes(row["data"]), row["begin"])
+            _put(f"{self.path}/{epoch}.idx{self.mark}", pack_index([(e["seq"], e["offset"], e["length"]) for e in row["entries"]]), row["rank"] * ENTRY)
+            n, data = sizes.get(epoch, (0, 0))
+            sizes[epoch] = (n + len(row["entries"]) * ENTRY, data + len(row["data"]))
+        return _Wrote(sizes)
+
+    def commit(self, messages: list) -> None:
+        total: dict[int, tuple[int, int]] = {}
+        for m in messages:
+            for epoch, (n, data) in (m.sizes if m else {}).items():
+                a, b = total.get(epoch, (0, 0))
+                total[epoch] = (a + n, b + data)
+        for epoch, sizes in total.items():
+            for kind, size in zip(("idx", "zst"), sizes):
+                if os.path.getsize(f"{self.path}/{epoch}.{kind}{self.mark}") != size:
+                    raise RuntimeError(f"{epoch}.{kind} has another size than its parts")
+                if not self.overwrite and os.path.exists(f"{self.path}/{epoch}.{kind}"):
+                    raise FileExistsError(f"{self.path}/{epoch}.{kind}")
+        for epoch in total:
+            for kind in ("zst", "idx"):
+                os.replace(f"{self.path}/{epoch}.{kind}{self.mark}", f"{self.path}/{epoch}.{kind}")
+
+    def abort(self, messages: list) -> None:
+        if os.path.isdir(self.path):
+            for name in os.listdir(self.path):
+                if name.endswith(self.mark):
+                    os.remove(f"{self.path}/{name}")
 
 
 class EpochArchive(DataSource):
     """spark.read.format("epoch_archive"): {epoch}.zst with {epoch}.idx on a mounted file system, by byte ranges.
 
-    Options: path, from, to, runBytes (bytes of a task). For other stores use epoch_frames.
+    Options of a read: path, from, to, runBytes (bytes of a task, about); index entries ascend by seq.
+    A write takes the rows of archive_parts; an epoch that is there is an error, or is replaced in mode
+    overwrite. For other stores use the table form.
     """
 
     @classmethod
@@ -207,6 +322,15 @@ class EpochArchive(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _ArchiveReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _ArchiveWriter(self.options, overwrite)
+
+
+def sink_epoch_files(frames: DataFrame, path: str, per_part: int = 32 << 20, mode: str = "append") -> None:
+    """Write frames (epoch, seq, content, length) as {epoch}.zst and {epoch}.idx."""
+    frames.sparkSession.dataSource.register(EpochArchive)
+    archive_parts(frames, per_part).select("epoch", "begin", "rank", "entries", "data").write.format("epoch_archive").mode(mode).save(path)
+
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
     value = shift = 0

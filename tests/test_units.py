@@ -232,6 +232,60 @@ def test_epoch_archive_source(spark, tmp_path):
     assert df.rdd.getNumPartitions() > 1
 
 
+def _frames(spark, n=9000):
+    body = F.concat(F.lit("frame "), F.col("id").cast("string")).cast("binary")
+    return archive.compressed(spark.range(100, 100 + n).select(F.floor(F.col("id") / 5000).alias("epoch"), F.col("id").alias("seq"), body.alias("body")))
+
+
+def test_offsets_over_blocks(spark):
+    f = _frames(spark).select("epoch", "seq", "length")
+    want, at = {}, {}
+    for r in sorted(f.collect(), key=lambda r: r["seq"]):
+        offset, rank = at.get(r["epoch"], (0, 0))
+        want[r["seq"]] = (offset, rank)
+        at[r["epoch"]] = (offset + r["length"], rank + 1)
+    assert {r["seq"]: (r["offset"], r["rank"]) for r in ranges.frame_places(f).collect()} == want
+    assert f.where("false").count() == ranges.frame_offsets(f.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("per_part", [1, 5000, 1 << 30])
+def test_epoch_files_round_trip(spark, tmp_path, per_part):
+    f, path = _frames(spark, 5200 if per_part > 1 else 40).cache(), str(tmp_path / "a")
+    archive.sink_epoch_files(f, path, per_part)
+    first, last = f.agg(F.min("seq"), F.max("seq")).first()
+    got = spark.read.format("epoch_archive").option("runBytes", 4000).load(path).collect()
+    assert sorted((r["seq"], bytes(r["body"])) for r in got) == [(s, f"frame {s}".encode()) for s in range(first, last + 1)]
+    index = archive.parse_index(spark.read.format("binaryFile").load(f"{path}/0.idx"), F.lit(0)).orderBy("seq").collect()
+    assert [int(r["offset"]) for r in index] == [sum(r["length"] for r in index[:k]) for k in range(len(index))]
+    assert not [x for x in (tmp_path / "a").iterdir() if not x.name.endswith((".zst", ".idx"))]
+    with pytest.raises(Exception, match="FileExistsError"):
+        archive.sink_epoch_files(f, path, per_part)
+    assert not [x for x in (tmp_path / "a").iterdir() if not x.name.endswith((".zst", ".idx"))]
+    archive.sink_epoch_files(f.where("seq < 120"), path, per_part, "overwrite")
+    assert spark.read.format("epoch_archive").load(path).where("epoch = 0").count() == 20
+    f.unpersist()
+
+
+def test_ranges_and_gaps_read_few_parts(spark, tmp_path):
+    path = f"file://{tmp_path}/a"
+    archive.sink_epoch_archive(_frames(spark), path, 5000)
+    got = archive.epoch_frames(spark, path, 4990, 5010)
+    assert sorted((r["epoch"], r["seq"], bytes(r["body"])) for r in got.collect()) == [(s // 5000, s, f"frame {s}".encode()) for s in range(4990, 5011)]
+    plan = got._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "GreaterThanOrEqual(last_seq" in plan
+    few = archive.frames_of(spark, path, spark.createDataFrame([(150,), (160,), (160,), (99999,)], "seq long"))
+    assert sorted(r["seq"] for r in few.collect()) == [150, 160]
+    assert "epoch#" in (plan := few._jdf.queryExecution().toString()) and "PartitionFilters: [isnotnull(epoch" in plan
+    assert archive.frames_of(spark, path, spark.range(0).select(F.col("id").alias("seq"))).count() == 0
+
+
+def test_frame_files_round_trip(spark, tmp_path):
+    archive.write_frame_files(spark.createDataFrame([(7, bytearray(b"x" * 12)), (8, bytearray(b"y"))], "seq long, content binary"), f"file://{tmp_path}/f")
+    assert sorted(tuple(r) for r in archive.frame_files(spark, f"{tmp_path}/f").select("seq", "length", "is_valid").collect()) == [(7, 12, True), (8, 1, False)]
+    with pytest.raises(ValueError, match="mounted"):
+        archive.local_path("s3a://bucket/x")
+
+
 def test_monotone_stream(spark, tmp_path):
     src = str(tmp_path / "in")
     for part in ([10, 11, 11], [11, 12], [9, 13]):

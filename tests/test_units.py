@@ -286,6 +286,28 @@ def test_frame_files_round_trip(spark, tmp_path):
         archive.local_path("s3a://bucket/x")
 
 
+def test_live_stalls(spark, tmp_path):
+    import time
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put = lambda rows: spark.createDataFrame(rows, "feed string, seq long").coalesce(1).write.mode("append").json(src)
+    put([("a", 1), ("a", 5), ("b", 2), (None, None)])
+    stream = streams.live_stalls(streams.live_source(spark, src, "feed string, seq long", kind="json"), "feed", 3)
+    q = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="500 milliseconds").start(out)
+    told = lambda: [(r["feed"], r["seq"]) for r in spark.read.schema("feed string, seq long").parquet(out).collect()] if (tmp_path / "out" / "_spark_metadata").exists() else []
+    try:
+        end = time.time() + 60
+        while len(told()) < 3 and time.time() < end:
+            time.sleep(0.5)
+        assert sorted(told(), key=str) == [("a", 5), ("b", 2), (None, None)]  # each once, without further input
+        put([("a", 6)])
+        while len(told()) < 4 and time.time() < end:
+            time.sleep(0.5)
+        assert ("a", 6) in told() and len(told()) == 4
+    finally:
+        q.stop()
+
+
 def test_monotone_stream(spark, tmp_path):
     src = str(tmp_path / "in")
     for part in ([10, 11, 11], [11, 12], [9, 13]):

@@ -614,5 +614,17 @@ def custom_sink(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
+# every tenth object is a package of one module too, in each of its states; one version is counted once a checkpoint
+_ALSO = f"(SELECT count(DISTINCT (checkpoint_seq, object_id, v)) FROM ({_BASE} SELECT checkpoint_seq, object_id, version AS v FROM obj JOIN tx USING (tx_no) WHERE alive AND CAST(object_id AS BIGINT) % 10 = 0 UNION ALL SELECT checkpoint_seq, object_id, prev_version FROM obj JOIN tx USING (tx_no) WHERE had AND CAST(object_id AS BIGINT) % 10 = 0))"
+
+
+@register(" UNION ALL ".join(f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM ({ORACLES[name]})) + {_ALSO if name.startswith('package') else '0'} AS n" for name in extract.BUILDERS))
+def extract_all_tables(spark, sf_dir):
+    """All thirteen tables of one input with all its parts, which is written once and read for each."""
+    path = scratch(spark, "nested")
+    fixtures.nested_checkpoints(spark, sf_dir, fixtures.PARTS).write.parquet(path)
+    return report.table_counts(extract.extract_tables(spark.read.parquet(path)))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir)

@@ -103,6 +103,24 @@ def op10_anisotropic_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_grammar_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secrets
+
+    return secrets(_table(spark, sf_dir, "documents"))
+
+
+def op12_count_min_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import trie
+
+    return trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +128,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op4_word_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search, pipeline)}
+    return {f.__name__: f for f in (op1_context_tree_scores, op2_ngram_jaccard_join, op3_warc_reassembly, op4_line_similarity_dedup, op4_word_similarity_dedup, op5_rendezvous_sharding, op6_string_kernel_language, op7_cube_mixing, op8_overlap_token_counts, op9_template_decontamination, op10_anisotropic_search, op11_grammar_secret_scan, op12_count_min_prefix_trie, op13_bit_sliced_whitening, pipeline)}
 
 
 OP3_SQL = """
@@ -184,5 +202,23 @@ SELECT doc_id, item_id, windows, matched, matched / CAST(windows AS DOUBLE) AS c
 """
 
 
+# crc32 goes bit by bit: a byte is taken in, then eight times -1 stands for a shift
+OP12_SQL = r"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS no,
+    octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') AS said, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS words FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT DISTINCT c, c - c % 20 AS host, CAST(xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: [CAST(unicode(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a // 2, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295) % 4 AS BIGINT) AS h FROM t),
+r AS (SELECT k.c, t.no AS place, t.said, t.words FROM k JOIN t ON t.c = k.host AND t.no <= k.h UNION ALL SELECT k.c, t.no + 10, t.said, t.words FROM k JOIN t ON t.c = k.c AND t.no > k.h),
+p AS (SELECT c, row_number() OVER w AS depth, sha256(string_agg(sha256(said), '') OVER w) AS key, words FROM r WINDOW w AS (PARTITION BY c ORDER BY place)),
+q AS (SELECT c, 0 AS depth, '' AS key, 0 AS words FROM k UNION ALL SELECT * FROM p),
+e AS (SELECT c, max(depth) AS top FROM q GROUP BY c),
+m AS (SELECT q.*, coalesce(lag(key) OVER (PARTITION BY q.c ORDER BY depth), 'none') AS above, depth = top AS ends FROM q JOIN e ON e.c = q.c),
+n AS (SELECT key, min(c) AS conv_id, any_value(depth) AS depth, any_value(above) AS above, count(*) AS n_convs, any_value(words) AS words, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY key),
+kids AS (SELECT above AS key, count(*) AS n_children FROM n GROUP BY above),
+u AS (SELECT n.*, coalesce(kids.n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.key = n.key),
+s AS (SELECT q.key, count(*) FILTER (u.n_children = 0) AS n_leaves, CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens FROM u JOIN q ON q.c = u.conv_id AND q.depth <= u.depth GROUP BY q.key)
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, o.conv_id AS parent_conv_id, u.n_convs, u.n_children, s.n_leaves, s.saved_tokens, u.ends_sha256 FROM u JOIN s ON s.key = u.key LEFT JOIN n o ON o.key = u.above
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_jaccard_join": OP2_SQL, "op3_warc_reassembly": OP3_SQL, "op4_line_similarity_dedup": OP4_SQL, "op9_template_decontamination": OP9_SQL.replace("{tokens}", _tokens_sql("text"))}
+    return {"op2_ngram_jaccard_join": OP2_SQL, "op3_warc_reassembly": OP3_SQL, "op4_line_similarity_dedup": OP4_SQL, "op9_template_decontamination": OP9_SQL.replace("{tokens}", _tokens_sql("text")), "op12_count_min_prefix_trie": OP12_SQL}

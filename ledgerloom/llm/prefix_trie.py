@@ -90,7 +90,7 @@ def rebuilt(said: DataFrame, group: int = 20, heads: int = 4) -> DataFrame:
 
 def prefixes(conversations: DataFrame) -> DataFrame:
     """(conv_id, depth, x, y, px, py, words, ends): the digest of each prefix and of the one before, from the root at depth 0."""
-    rows = rebuilt(turns(conversations))
+    rows = rebuilt(written(turns(conversations), "turns"))
     mixed = lambda seed: F.when(F.col("no") == 0, F.lit(0).cast("long")).otherwise(F.xxhash64("a", "b", "no", F.lit(seed)))
     rows = rows.select("conv_id", "no", mixed(1).alias("u"), mixed(2).alias("v"), "words")
     zero = F.lit(0).cast("long")

@@ -13,6 +13,17 @@ ADDRESS_KINDS = ("AddressOwner", "ConsensusAddressOwner")
 #: Owner kinds that carry an id. Fixed values.
 NAMED_KINDS = (*ADDRESS_KINDS, "ObjectOwner")
 NO_OBJECT = "0x" + "0" * 64
+#: Names of transaction kinds. Fixed values; the first two carry commands.
+TRANSACTION_KINDS = (
+    "ProgrammableTransaction", "ProgrammableSystemTransaction", "ChangeEpoch", "Genesis", "ConsensusCommitPrologue", "ConsensusCommitPrologueV2",
+    "ConsensusCommitPrologueV3", "ConsensusCommitPrologueV4", "AuthenticatorStateUpdate", "EndOfEpochTransaction", "RandomnessStateUpdate",
+)
+PROGRAMMABLE = TRANSACTION_KINDS[:2]
+
+
+def has_commands(kind: Column) -> Column:
+    """Whether a transaction's kind carries commands; false for a missing kind."""
+    return F.coalesce(kind.isin(*PROGRAMMABLE), F.lit(False))
 
 
 def hex_of(value: Column) -> Column:
@@ -63,22 +74,47 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def listed(effects: Column, name: str, object_id: Column) -> Column:
-    return F.coalesce(F.array_contains(effects[name], object_id), F.lit(False))
+def indexed(entries: Column) -> Column:
+    """entries, an array of structs, sorted and with the steps of a search by halving: made once, for find."""
+    steps = lambda a: F.transform(F.sequence(F.floor(F.log2(F.greatest(F.size(a), F.lit(1)))).cast("int"), F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return let(F.sort_array(entries), lambda a: F.struct(a.alias("a"), steps(a).alias("steps")))
+
+
+def find(index: Column, value: Column, key: str = "k") -> Column:
+    """The first entry of an index whose key, its first field, is value; else null. As many looks as the number of entries has bits."""
+    a = index["a"]
+    # an index beyond the end gives null, which is not less
+    at = F.aggregate(index["steps"], F.lit(0), lambda at, step: F.when(F.get(a, at + step - 1)[key] < value, at + step).otherwise(at))
+    return F.get(F.filter(F.array(F.get(a, at)), lambda x: x[key] == value), F.lit(0))  # a filter does not copy what it keeps
+
+
+#: Lists of the effects in the order in which they tell how an object changed.
+CHANGE_LISTS = (("created", "CREATED"), ("mutated", "MUTATED"), ("unwrapped", "UNWRAPPED"), ("deleted", "DELETED"), ("unwrapped_then_deleted", "DELETED"), ("wrapped", "WRAPPED"))
 
 
-def change_type(change: Column, effects: Column, is_package: Column) -> Column:
+def change_marks(effects: Column) -> Column:
+    """Index from an object's id to the first list of the effects that has it, a place in CHANGE_LISTS."""
+    none = F.array().cast("array<string>")
+    marked = lambda k: lambda i: F.struct(i.alias("k"), F.lit(k).alias("mark"))
+    return indexed(F.concat(*(F.transform(F.coalesce(effects[name], none), marked(k)) for k, (name, _) in enumerate(CHANGE_LISTS))))
+
+
+def published_ids(effects: Column) -> Column:
+    return indexed(F.transform(F.coalesce(effects["published"], F.array().cast("array<string>")), lambda i: F.struct(i.alias("k"))))
+
+
+def change_type(change: Column, version: Column, mark: Column, published: Column, is_package: Column) -> Column:
     """How an object changed: the effects' lists by priority, then the id operation, then the versions.
 
-    Effects of version 1 have no list of published packages: these are the created objects that are packages.
+    mark is the object's place in CHANGE_LISTS. Effects of version 1 have no list of published packages:
+    these are the created objects that are packages.
     """
-    oid, has_in, has_out = change["object_id"], change["input_version"].isNotNull(), change["output_version"].isNotNull()
-    of = lambda name: listed(effects, name, oid)
-    published = F.when(effects["version"] == 1, of("created") & is_package).otherwise(of("published"))
+    has_in, has_out = change["input_version"].isNotNull(), change["output_version"].isNotNull()
+    out = F.when(F.when(version == 1, F.coalesce(mark == 0, F.lit(False)) & is_package).otherwise(published), "PACKAGE_WRITE")
+    for k, (_, kind) in enumerate(CHANGE_LISTS):
+        out = out.when(mark == k, kind)
     return (
-        F.when(published, "PACKAGE_WRITE").when(of("created"), "CREATED").when(of("mutated"), "MUTATED").when(of("unwrapped"), "UNWRAPPED")
-        .when(of("deleted") | of("unwrapped_then_deleted"), "DELETED").when(of("wrapped"), "WRAPPED")
-        .when(change["id_operation"] == "created", "CREATED").when(change["id_operation"] == "deleted", "DELETED")
+        out.when(change["id_operation"] == "created", "CREATED").when(change["id_operation"] == "deleted", "DELETED")
         .when(has_in & has_out, "MUTATED").when(has_out, "CREATED").otherwise("DELETED")
     )
 
@@ -98,12 +134,18 @@ def subject(prefix: str, table: Column) -> Column:
 BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 
 
+_PAIRS = [a + b for a in BASE58 for b in BASE58]
+
+
 def base58(data: bytes) -> str:
-    n, out = int.from_bytes(data, "big"), ""
+    """Digits are taken ten at a time from the long number, and by pairs from those."""
+    n, out = int.from_bytes(data, "big"), []
     while n:
-        n, r = divmod(n, 58)
-        out = BASE58[r] + out
-    return "1" * (len(data) - len(data.lstrip(b"\0"))) + out
+        n, ten = divmod(n, 58**10)
+        for _ in range(5):
+            ten, pair = divmod(ten, 3364)
+            out.append(_PAIRS[pair])
+    return "1" * (len(data) - len(data.lstrip(b"\0"))) + "".join(reversed(out)).lstrip("1")
 
 
 def summary_digest(raw: bytes) -> str:

@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
 
 
+def _places(bits: Column) -> Column:
+    """The bits that are set in a bitmap, the lowest bit of the first byte first."""
+    byte = lambda i: F.conv(F.hex(F.substring(bits, F.floor(i / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    each = F.when(F.octet_length(bits) > 0, F.sequence(F.lit(0), F.octet_length(bits) * 8 - 1)).otherwise(F.array().cast("array<int>"))
+    return F.filter(each, lambda i: F.pmod(F.floor(byte(i) / F.pow(F.lit(2), i % 8)), F.lit(2)) == 1)
+
+
 def signer_stake(signatures: DataFrame, committee: DataFrame) -> DataFrame:
     """For each signature (seq, epoch, sig_epoch, signers) the signed and total stake and whether the quorum is met.
 
-    Fails without signers, with a position that the committee lacks, or with another epoch's
-    signature. A committee is small, but all committees grow with time, so the join is left to AQE.
+    signers is an array of places or a binary bitmap of them. A committee (epoch, idx, stake) becomes one
+    row, its stakes a vector by place, that each signature of its epoch is joined with once; stakes are
+    summed inside the row, so there is no row a signer. Fails without signers, with a place that the
+    committee lacks, or with another epoch's signature. All committees grow with time, so the join is left
+    to AQE.
     """
-    each = signatures.select("seq", "epoch", "sig_epoch", F.explode_outer(F.array_distinct("signers")).alias("idx"))
-    stake = each.join(committee.select("epoch", "idx", "stake"), ["epoch", "idx"], "left")
-    signed = stake.groupBy("seq", "epoch", "sig_epoch").agg(
-        F.coalesce(F.sum(F.col("stake").cast("decimal(38,0)")), F.lit(0)).alias("signed_stake"), F.count("idx").alias("signer_count"), F.count_if(F.col("idx").isNotNull() & F.col("stake").isNull()).alias("unknown_signers"),
-    )
-    totals = committee.groupBy("epoch").agg(F.sum(F.col("stake").cast("decimal(38,0)")).alias("total_stake"))
-    out = signed.join(totals, "epoch", "left").withColumn("total_stake", F.coalesce("total_stake", F.lit(0)))
+    big = lambda c: c.cast("decimal(38,0)")
+    places = _places(F.col("signers")) if signatures.schema["signers"].dataType.typeName() == "binary" else F.array_distinct(F.filter(F.coalesce("signers", F.array()), lambda i: i.isNotNull()))
+    # places are dense in a committee, and then the vector's index is the place; else places are searched for
+    one = committee.groupBy("epoch").agg(F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int").alias("k"), big(F.col("stake")).alias("stake")))).alias("a"), F.coalesce(F.sum(big(F.col("stake"))), big(F.lit(0))).alias("total"))
+    dense = (F.get("a", F.lit(0))["k"] == 0) & (F.get("a", F.size("a") - 1)["k"] == F.size("a") - 1)
+    vector = one.select(F.col("epoch").alias("_epoch"), rules.indexed(F.col("a")).alias("index"), F.transform("a", lambda x: x["stake"]).alias("stakes"), dense.alias("dense"), "total")
+    each = signatures.select("seq", "epoch", "sig_epoch", places.alias("places")).join(vector, F.col("epoch") == F.col("_epoch"), "left")
+    stake = lambda i: F.when(F.col("dense"), F.when(i >= 0, F.get("stakes", i))).otherwise(rules.find(F.col("index"), i)["stake"])
+    each = each.withColumn("held", F.transform("places", stake))
+    signed = F.aggregate(F.filter("held", lambda v: v.isNotNull()), big(F.lit(0)), lambda a, v: (a + v).cast("decimal(38,0)"))
+    out = each.select("seq", "epoch", "sig_epoch", F.size("places").cast("long").alias("signer_count"), F.size(F.filter("held", lambda v: v.isNull())).cast("long").alias("unknown_signers"), signed.alias("signed_stake"), F.coalesce("total", big(F.lit(0))).alias("total_stake"))
     fine = (F.col("signer_count") > 0) & (F.col("unknown_signers") == 0) & (F.col("epoch") == F.col("sig_epoch")) & rules.quorum_met(F.col("signed_stake"), F.col("total_stake"))
     return out.select("seq", "epoch", "signer_count", "unknown_signers", "signed_stake", "total_stake", (F.col("epoch") != F.col("sig_epoch")).alias("wrong_epoch"), fine.alias("passed"))
 

@@ -7,8 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.records import union_records
-
 
 def table_counts(tables: Mapping[str, DataFrame], batch_col: str | None = None) -> DataFrame:
     """Rows of each table, by batch if a column names one."""
@@ -22,11 +20,6 @@ def table_counts(tables: Mapping[str, DataFrame], batch_col: str | None = None)
     return out
 
 
-def record_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """table_counts over the merged record stream."""
-    return union_records(tables).groupBy("table").agg(F.count("*").alias("n"))
-
-
 def run_stats(frames: DataFrame, elapsed_s: float) -> DataFrame:
     """One row: frames, bytes, elapsed seconds and frames a second (elapsed is 0.001 s at least)."""
     s = F.greatest(F.lit(float(elapsed_s)), F.lit(0.001))

@@ -1,18 +1,18 @@
 """Objects before and after a transaction: look-ups, changes, balances.
 
 A checkpoint's row brings all object states that its transactions touch, so states are looked up
-inside the row, by functions on its arrays: no shuffle. object_set and object_lookup are the same as
-tables and a join, for states that come from elsewhere.
+inside the row, in a sorted array that is made once and searched by halving: no shuffle, and a busy
+checkpoint takes time in proportion to its changes. object_set and object_lookup are the same as tables
+and a join, for states that come from elsewhere.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from .flatten import At, digest_of, here
 
 _OBJECT = ("version", "owner", "object_type", "previous_transaction", "coin_type", "balance")
 
@@ -31,36 +31,59 @@ def object_set(cp: DataFrame) -> DataFrame:
     return kept.select("checkpoint_seq", "object_id", *(F.col(f"s.{c}").alias(c) for c in _OBJECT), "s.is_package")
 
 
-def _seen() -> Column:
-    """The object states of a row, those of later transactions first, those of the checkpoint last: the first of a key counts."""
-    kept = lambda o: F.struct(o["object_id"].alias("object_id"), *(o[c].alias(c) for c in _OBJECT), o["package"].isNotNull().alias("is_package"))
-    none = lambda a: F.filter(a, lambda x: x.isNotNull())
-    held = F.transform(F.col("transactions"), lambda t: F.struct(t["position"].alias("position"), F.transform(t["objects"], kept).alias("o")))
-    inner = F.transform(F.array_sort(held, lambda a, b: b["position"] - a["position"]), lambda x: x["o"])
-    return F.flatten(none(F.concat(F.coalesce(inner, F.array()), F.array(F.transform(F.col("objects"), kept)))))
+def _key(object_id: Column, version: Column) -> Column:
+    """One text for both, null if either is: texts are compared faster than structs."""
+    return F.concat(version.cast("string"), F.lit(":"), object_id)
 
 
-def stated(cp: DataFrame) -> DataFrame:
-    """One row for each changed object of each transaction, with its states before and after (null: not in the set)."""
+def _states() -> Column:
+    """Index of the object states of a row by _key: the last transaction's first, the checkpoint's last."""
+    state = lambda o: F.struct(*(o[c].alias(c) for c in _OBJECT), o["package"].isNotNull().alias("is_package"))
+    entry = lambda rank: lambda o, i: F.struct(_key(o["object_id"], o["version"]).alias("k"), rank.alias("rank"), i.alias("i"), state(o).alias("s"))
+    some = lambda a: F.filter(a, lambda o: o["object_id"].isNotNull() & o["version"].isNotNull())
+    inner = F.transform(F.col("transactions"), lambda t: F.transform(some(t["objects"]), entry(-t["position"])))
+    top = F.transform(some(F.col("objects")), entry(F.lit((1 << 31) - 1)))
+    return rules.indexed(F.flatten(F.filter(F.concat(F.coalesce(inner, F.array()), F.array(top)), lambda a: a.isNotNull())))
+
 
-    def change(t: Column, c: Column, seen: Column) -> Column:
-        e = t["effects"]
-        at = lambda version: F.get(F.filter(seen, lambda o: (o["object_id"] == c["object_id"]) & (o["version"] == c[version])), F.lit(0))
-        return F.struct(t["position"].alias("position"), e.alias("e"), rules.first_text(e["transaction_digest"], t["digest"]).alias("tx_digest"), c.alias("c"), at("input_version").alias("before"), at("output_version").alias("after"))
+def with_states(cp: DataFrame) -> DataFrame:
+    """cp with the indexes that stated_lists looks things up in: states of the row, lists of the effects of each transaction.
+
+    They are columns of their own, so they are made once for each row.
+    """
+    marks = F.transform("transactions", lambda t: F.struct(rules.change_marks(t["effects"]).alias("marks"), rules.published_ids(t["effects"]).alias("published")))
+    return cp.withColumns({"_states": _states(), "_marks": marks})
+
+
+def stated_lists() -> Column:
+    """For each transaction of a row of with_states the changed objects with their states before and after (null: not in the set).
+
+    Things are found by halving: the time grows with the changes, times the bits of their number.
+    """
 
-    def of(t: Column, seen: Column) -> Column:
+    def change(t: Column, c: Column, m: Column) -> Column:
+        e, oid = t["effects"], c["object_id"]
+        at = lambda version: rules.find(F.col("_states"), _key(oid, c[version]))["s"]
+        found = F.struct(at("input_version").alias("before"), at("output_version").alias("after"), rules.find(m["marks"], oid)["mark"].alias("mark"), rules.find(m["published"], oid).isNotNull().alias("published"))
+        return rules.let(found, lambda x: F.struct(
+            digest_of(t).alias("tx_digest"), t["position"].alias("position"), oid.alias("object_id"), rules.change_type(c, e["version"], x["mark"], x["published"], F.coalesce(x["after"]["is_package"], F.lit(False))).alias("change_type"),
+            c["input_version"].alias("input_version"), c["input_digest"].alias("input_digest"), F.when(e["version"] == 2, c["input_owner"]).alias("input_owner"), c["output_version"].alias("output_version"), c["output_digest"].alias("output_digest"),
+            F.when(x["mark"] < 3, c["output_owner"]).alias("output_owner"), F.coalesce(F.nullif(e["gas_object_id"], F.lit(rules.NO_OBJECT)) == oid, F.lit(False)).alias("is_gas_object"), x["before"].alias("before"), x["after"].alias("after"),
+        ))
+
+    def of(t: Column, i: Column) -> Column:
         some = F.filter(t["effects"]["changes"], lambda c: c["input_version"].isNotNull() | c["output_version"].isNotNull())
-        found = F.transform(some, lambda c: change(t, c, seen))
-        # of the effects only what the rules need goes on with each change
-        return F.transform(found, lambda x: F.struct(*(x[n].alias(n) for n in ("position", "tx_digest", "c", "before", "after")), x["e"]["version"].alias("effects"), (F.nullif(x["e"]["gas_object_id"], F.lit(rules.NO_OBJECT)) == x["c"]["object_id"]).alias("gas"), rules.change_type(x["c"], x["e"], F.coalesce(x["after"]["is_package"], F.lit(False))).alias("change_type"), reduce(lambda a, b: a | b, (rules.listed(x["e"], n, x["c"]["object_id"]) for n in ("created", "mutated", "unwrapped"))).alias("shown")))
+        return F.transform(some, lambda c: change(t, c, F.get("_marks", i)))
 
-    rows = rules.let(_seen(), lambda seen: F.flatten(F.filter(F.transform(F.col("transactions"), lambda t: of(t, seen)), lambda a: a.isNotNull())))
-    out = cp.select(F.col("sequence_number").alias("checkpoint_seq"), F.col("summary.timestamp_ms").alias("timestamp_ms"), F.explode(rows).alias("x"))
-    return out.select(
-        "x.tx_digest", "checkpoint_seq", "timestamp_ms", "x.position", F.col("x.c.object_id").alias("object_id"), "x.change_type", F.col("x.c.input_version").alias("input_version"), F.col("x.c.input_digest").alias("input_digest"),
-        F.when(F.col("x.effects") == 2, F.col("x.c.input_owner")).alias("input_owner"), F.col("x.c.output_version").alias("output_version"), F.col("x.c.output_digest").alias("output_digest"), F.when(F.col("x.shown"), F.col("x.c.output_owner")).alias("output_owner"),
-        F.coalesce("x.gas", F.lit(False)).alias("is_gas_object"), "x.before", "x.after",
-    )
+    return F.filter(F.transform("transactions", of), lambda a: a.isNotNull())
+
+
+_STATED = ("tx_digest", "position", "object_id", "change_type", "input_version", "input_digest", "input_owner", "output_version", "output_digest", "output_owner", "is_gas_object", "before", "after")
+
+
+def stated(cp: DataFrame) -> DataFrame:
+    """One row for each changed object of each transaction, with its states before and after."""
+    return _exploded(cp, F.flatten(stated_lists())).select("checkpoint_seq", "timestamp_ms", *(F.col(f"x.{c}").alias(c) for c in _STATED))
 
 
 def changes(cp: DataFrame) -> DataFrame:
@@ -81,61 +104,107 @@ def object_lookup(changed: DataFrame, objects: DataFrame) -> DataFrame:
     return out.select(*changed.columns, F.col("_best.o.object_type").alias("object_type"), F.col("_best.o.previous_transaction").alias("previous_transaction"))
 
 
+def change_row(x: Column, at: At) -> list[Column]:
+    state = F.coalesce(x["after"], x["before"])
+    return [
+        *(x[c].alias(c) for c in ("tx_digest", "object_id", "change_type")), state["object_type"].alias("object_type"), x["input_version"].alias("input_version"), x["input_digest"].alias("input_digest"), rules.owner_id(x["input_owner"]).alias("input_owner"), x["input_owner"]["kind"].alias("input_owner_kind"),
+        x["output_version"].alias("output_version"), x["output_digest"].alias("output_digest"), rules.owner_id(x["output_owner"]).alias("output_owner"), x["output_owner"]["kind"].alias("output_owner_kind"), x["is_gas_object"].alias("is_gas_object"),
+        F.coalesce(state["previous_transaction"], F.lit("")).alias("previous_transaction"), *at.columns(),
+    ]
+
+
+def _exploded(cp: DataFrame, rows: Column) -> DataFrame:
+    return with_states(cp).select(*here().columns(), F.explode(rows).alias("x"))
+
+
+_HERE = ("checkpoint_seq", "timestamp_ms")
+
+
+def _at() -> At:
+    return At(*(F.col(c) for c in _HERE))
+
+
 def object_changes(cp: DataFrame) -> DataFrame:
-    state = F.coalesce("after", "before")
-    return stated(cp).select(
-        "tx_digest", "object_id", "change_type", state["object_type"].alias("object_type"), "input_version", "input_digest", rules.owner_id(F.col("input_owner")).alias("input_owner"), F.col("input_owner.kind").alias("input_owner_kind"),
-        "output_version", "output_digest", rules.owner_id(F.col("output_owner")).alias("output_owner"), F.col("output_owner.kind").alias("output_owner_kind"), "is_gas_object",
-        F.coalesce(state["previous_transaction"], F.lit("")).alias("previous_transaction"), "checkpoint_seq", "timestamp_ms",
-    )
+    return _exploded(cp, F.flatten(stated_lists())).select(*change_row(F.col("x"), _at()))
 
 
-def _coin(state: str) -> Column:
+def _coin(o: Column) -> Column:
     """The state of a coin that an address owns; null for anything else."""
-    o = F.col(state)
     held = F.struct(o["owner"]["address"].alias("owner_id"), o["owner"]["kind"].alias("owner_kind"), o["coin_type"].alias("coin_type"), o["balance"].alias("balance"), o["version"].alias("version"))
     return F.when(o["owner"]["kind"].isin(*rules.ADDRESS_KINDS) & o["coin_type"].isNotNull(), held)
 
 
+def coins(changed: Column) -> Column:
+    """The coins among the changed objects of a transaction, with what they were and are (one may be null)."""
+    both = F.transform(changed, lambda x: F.struct(*(x[c].alias(c) for c in ("tx_digest", "object_id", "position")), _coin(x["before"]).alias("before"), _coin(x["after"]).alias("after")))
+    return F.filter(both, lambda x: x["before"].isNotNull() | x["after"].isNotNull())
+
+
 def before_after(cp: DataFrame) -> DataFrame:
     """One row for each coin that a transaction touched, with struct columns before and after (either may be null)."""
-    rows = stated(cp).select("checkpoint_seq", "tx_digest", "object_id", "timestamp_ms", "position", _coin("before").alias("before"), _coin("after").alias("after"))
-    return rows.where("before IS NOT NULL OR after IS NOT NULL")
+    return _exploded(cp, coins(F.flatten(stated_lists()))).select("checkpoint_seq", "x.tx_digest", "x.object_id", "timestamp_ms", "x.position", "x.before", "x.after")
 
 
 def touched_ids(before: DataFrame, after: DataFrame, key: str = "object_id") -> DataFrame:
     return before.select(key).union(after.select(key)).distinct()
 
 
-def coin_balances(cp: DataFrame) -> DataFrame:
-    """Change log of coins: what left an owner with its old values, what an owner now has with the new ones."""
-    b, a = F.col("before"), F.col("after")
+def log_rows(coin: Column, at: At) -> Column:
+    """Rows of the change log of a coin: what left an owner with its old values, what an owner now has with the new ones."""
+    b, a = coin["before"], coin["after"]
     moved = ~(b["owner_id"].eqNullSafe(a["owner_id"]) & b["owner_kind"].eqNullSafe(a["owner_kind"]))
     same = ~moved & b["balance"].eqNullSafe(a["balance"]) & b["coin_type"].eqNullSafe(a["coin_type"])
-    gone, now = F.struct(F.lit(True).alias("is_deleted"), b.alias("s")), F.struct(F.lit(False).alias("is_deleted"), a.alias("s"))
-    rows = F.when(a.isNull(), F.array(gone)).when(b.isNull(), F.array(now)).when(same, F.array().cast("array<struct<is_deleted:boolean,s:struct<owner_id:string,owner_kind:string,coin_type:string,balance:decimal(20,0),version:bigint>>>")).when(moved, F.array(gone, now)).otherwise(F.array(now))
-    out = before_after(cp).select("tx_digest", "object_id", "checkpoint_seq", "timestamp_ms", "position", F.explode(rows).alias("r"))
-    return out.select("tx_digest", "object_id", "r.is_deleted", *(F.col(f"r.s.{c}").alias(c) for c in ("owner_id", "owner_kind", "coin_type", "balance", "version")), "checkpoint_seq", "timestamp_ms", "position")
+    row = lambda gone, s: F.struct(coin["tx_digest"].alias("tx_digest"), coin["object_id"].alias("object_id"), F.lit(gone).alias("is_deleted"), *(s[c].alias(c) for c in ("owner_id", "owner_kind", "coin_type", "balance", "version")), *at.columns(), coin["position"].alias("position"))
+    now = F.array(row(False, a))
+    return F.when(a.isNull(), F.array(row(True, b))).when(b.isNull(), now).when(same, F.filter(now, lambda r: F.lit(False))).when(moved, F.array(row(True, b), row(False, a))).otherwise(now)
+
+
+def coin_balances(cp: DataFrame) -> DataFrame:
+    """Change log of coins."""
+    each = _exploded(cp, coins(F.flatten(stated_lists())))
+    return each.select(F.explode(log_rows(F.col("x"), _at())).alias("r")).select("r.*")
+
+
+def net_rows(coin_list: Column, at: At) -> Column:
+    """Net change for each address and coin type of one transaction, summed in the row: its coins are sorted by both, and each run is added up."""
+    side = lambda x, s, v: F.when(x[s].isNotNull(), F.struct(x["tx_digest"].alias("tx_digest"), x[s]["owner_id"].alias("address"), x[s]["coin_type"].alias("coin_type"), v.cast("decimal(38,0)").alias("x")))
+    sides = F.flatten(F.transform(coin_list, lambda x: F.filter(F.array(side(x, "after", x["after"]["balance"]), side(x, "before", -x["before"]["balance"])), lambda v: v.isNotNull())))
+
+    def total(values: Column) -> Column:
+        """An empty sum, or one out of range, is null."""
+        known = F.filter(values, lambda v: v.isNotNull())
+        return F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("decimal(38,0)"), lambda a, v: F.try_add(a, v)))
+
+    def runs(s: Column) -> Column:
+        same = lambda i: s[i - 1]["address"].eqNullSafe(s[i]["address"]) & s[i - 1]["coin_type"].eqNullSafe(s[i]["coin_type"])
+        starts = F.when(F.size(s) > 0, F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | ~same(i)))
+        run = lambda st, i, j: F.slice(s, i + 1, F.coalesce(F.get(st, j + 1), F.size(s)) - i)
+        return rules.let(starts, lambda st: F.transform(st, lambda i, j: F.struct(s[i]["tx_digest"].alias("tx_digest"), s[i]["address"].alias("address"), s[i]["coin_type"].alias("coin_type"), total(F.transform(run(st, i, j), lambda v: v["x"])).alias("amount"), *at.columns())))
+
+    rows = rules.let(F.sort_array(sides), runs)
+    return F.filter(rows, lambda r: (r["amount"] != 0) | r["amount"].isNull())
+
+
+def balance_lists(changed: Column, at: At) -> Column:
+    return F.flatten(F.filter(F.transform(changed, lambda xs: net_rows(coins(xs), at)), lambda a: a.isNotNull()))
 
 
 def balance_changes(cp: DataFrame) -> DataFrame:
     """Net change for each transaction, address and coin type; zeros go. Out-of-range sums are null, not wrong."""
-    signed = lambda side, x: F.struct(F.col(f"{side}.owner_id").alias("owner_id"), F.col(f"{side}.coin_type").alias("coin_type"), x.cast("decimal(38,0)").alias("x"))
-    sides = F.array(F.when(F.col("after").isNotNull(), signed("after", F.col("after.balance"))), F.when(F.col("before").isNotNull(), signed("before", -F.col("before.balance"))))
-    both = before_after(cp).select("tx_digest", "checkpoint_seq", "timestamp_ms", F.explode(F.filter(sides, lambda s: s.isNotNull())).alias("s")).select("tx_digest", "checkpoint_seq", "timestamp_ms", "s.*")
-    net = both.groupBy("tx_digest", F.col("owner_id").alias("address"), "coin_type", "checkpoint_seq", "timestamp_ms").agg(F.try_sum("x").alias("amount"))
-    return net.where("amount <> 0 OR amount IS NULL").select("tx_digest", "address", "coin_type", "amount", "checkpoint_seq", "timestamp_ms")
+    return _exploded(cp, balance_lists(stated_lists(), here())).select("x.*")
 
 
 def published_packages(cp: DataFrame) -> DataFrame:
     """(tx_digest, object_id) of published packages: created ids that are packages (effects 1), the given list (effects 2)."""
+    inner = F.transform("transactions", lambda t: t["objects"])
+    ids = F.flatten(F.transform(F.filter(F.concat(F.coalesce(inner, F.array()), F.array(F.col("objects"))), lambda a: a.isNotNull()), lambda a: F.transform(F.filter(a, lambda o: o["package"].isNotNull()), lambda o: F.struct(o["object_id"].alias("k")))))
 
-    def of(t: Column, seen: Column) -> Column:
-        made = F.filter(t["effects"]["created"], lambda i: F.exists(seen, lambda o: (o["object_id"] == i) & o["is_package"]))
-        ids = F.when(t["effects"]["version"] == 1, made).when(t["effects"]["version"] == 2, t["effects"]["published"])
-        return F.transform(ids, lambda i: F.struct(rules.first_text(t["effects"]["transaction_digest"], t["digest"]).alias("tx_digest"), i.alias("object_id")))
+    def of(t: Column, index: Column) -> Column:
+        made = F.filter(t["effects"]["created"], lambda i: rules.find(index, i).isNotNull())
+        found = F.when(t["effects"]["version"] == 1, made).when(t["effects"]["version"] == 2, t["effects"]["published"])
+        return F.transform(found, lambda i: F.struct(digest_of(t).alias("tx_digest"), i.alias("object_id")))
 
-    rows = rules.let(_seen(), lambda seen: F.flatten(F.filter(F.transform(F.col("transactions"), lambda t: of(t, seen)), lambda a: a.isNotNull())))
+    rows = rules.let(rules.indexed(ids), lambda index: F.flatten(F.filter(F.transform(F.col("transactions"), lambda t: of(t, index)), lambda a: a.isNotNull())))
     return cp.select(F.explode(rows).alias("x")).select("x.*")
 
 

@@ -347,8 +347,9 @@ def holder_balances(spark, sf_dir):
 @register(_BASE + """SELECT 'transactions' AS "table", (SELECT count(*) FROM tx) AS n UNION ALL SELECT 'move_calls', (SELECT count(*) FROM cmd WHERE kind = 'MoveCall') UNION ALL SELECT 'commands', (SELECT count(*) FROM cmd)
   UNION ALL SELECT 'object_changes', (SELECT count(*) FROM obj WHERE alive OR had) UNION ALL SELECT 'checkpoints', (SELECT count(DISTINCT checkpoint_seq) FROM tx)""")
 def extract_tables(spark, sf_dir):
+    """Counts of five tables from one pass."""
     cp = fixtures.nested_checkpoints(spark, sf_dir, ["commands", "objects"])
-    return report.table_counts(extract.extract_tables(cp, ["checkpoints", "transactions", "move_calls", "commands", "object_changes"]))
+    return extract.tagged_rows(cp, ["checkpoints", "transactions", "move_calls", "commands", "object_changes"]).groupBy("table").agg(F.count("*").alias("n"))
 
 
 # ---- joins and checks
@@ -370,12 +371,6 @@ def signer_stake(spark, sf_dir):
     return plain(quality.signer_stake(fixtures.signatures(spark, sf_dir), fixtures.committee(spark, sf_dir)))
 
 
-@register(_STAKE)
-def signer_stake_all(spark, sf_dir):
-    """An older name of the same."""
-    return signer_stake(spark, sf_dir)
-
-
 _OTHER = "o AS (SELECT epoch, seq, CASE WHEN seq % 10 = 3 THEN length + 1 ELSE length END AS length FROM f WHERE seq % 50 <> 7 UNION ALL SELECT 9999, -1, 5)"
 
 
@@ -590,8 +585,9 @@ def stream_extract(spark, sf_dir):
     path, out = scratch(spark, "nested"), scratch(spark, "extracted")
     cp = fixtures.nested_checkpoints(spark, sf_dir, ["commands"])
     cp.repartition(3).write.parquet(path)
-    streams.stream_extract(spark.readStream.schema(cp.schema).option("maxFilesPerTrigger", 2).parquet(path), ["transactions", "move_calls"], out, scratch(spark, "cursor")).awaitTermination()
-    t, m = spark.read.parquet(f"{out}/transactions"), spark.read.parquet(f"{out}/move_calls")
+    names = ["transactions", "move_calls"]
+    streams.stream_extract(spark.readStream.schema(cp.schema).option("maxFilesPerTrigger", 2).parquet(path), names, out, scratch(spark, "cursor")).awaitTermination()
+    t, m = (extract.read_fan_out(cp, out, names)[n] for n in names)
     return t.select(F.lit("transactions").alias("tbl"), F.col("digest").alias("key")).unionByName(m.select(F.lit("move_calls").alias("tbl"), F.col("tx_digest").alias("key")))
 
 
@@ -620,10 +616,9 @@ _ALSO = f"(SELECT count(DISTINCT (checkpoint_seq, object_id, v)) FROM ({_BASE} S
 
 @register(" UNION ALL ".join(f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM ({ORACLES[name]})) + {_ALSO if name.startswith('package') else '0'} AS n" for name in extract.BUILDERS))
 def extract_all_tables(spark, sf_dir):
-    """All thirteen tables of one input with all its parts, which is written once and read for each."""
-    path = scratch(spark, "nested")
-    fixtures.nested_checkpoints(spark, sf_dir, fixtures.PARTS).write.parquet(path)
-    return report.table_counts(extract.extract_tables(spark.read.parquet(path)))
+    """All thirteen tables of one input with all its parts, written in one pass and counted as read back."""
+    cp = fixtures.nested_checkpoints(spark, sf_dir, fixtures.PARTS)
+    return report.table_counts(extract.fan_out(cp, scratch(spark, "tables")))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,10 +29,10 @@ def test_signers_of_all_checkpoints(spark):
     c = duckdb.connect()
     for t in ("orders", "lineitem", "part", "supplier"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
-    r = c.execute(plans.ORACLES["signer_stake_all"])
+    r = c.execute(plans.ORACLES["signer_stake"])
     columns = [x[0] for x in r.description]
     order = sorted(range(len(columns)), key=columns.__getitem__)
-    got = rows(plans.QUERIES["signer_stake_all"](spark, d))
+    got = rows(plans.QUERIES["signer_stake"](spark, d))
     assert got == ordered(tuple(x[k] for k in order) for x in r.fetchall())
     assert len(got) == c.execute("SELECT count(DISTINCT floor(o_orderkey / 10)) FROM orders").fetchone()[0] > 200
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import rules
 
@@ -39,12 +42,44 @@ def signer_stake(signatures: DataFrame, committee: DataFrame) -> DataFrame:
     return out.select("seq", "epoch", "signer_count", "unknown_signers", "signed_stake", "total_stake", (F.col("epoch") != F.col("sig_epoch")).alias("wrong_epoch"), fine.alias("passed"))
 
 
-def parity_diff(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    """(key, status, columns): rows on one side only, and rows whose columns differ, with their names."""
+def range_digests(df: DataFrame, key: list[str], blocks: int) -> DataFrame:
+    """(block, n, a, b): the rows of each block of keys as their number and two sums of hashes, whatever their order.
+
+    A repeated row counts as often as it is there. Sums are decimals, so they neither wrap nor overflow.
+    """
+    rest = sorted(c for c in df.columns if c not in key)
+    row = F.to_json(F.struct(*(F.col(c).alias(c) for c in [*key, *rest])), {"ignoreNullFields": "false"})
+    h = lambda seed: F.sum(F.xxhash64(F.lit(seed), row).cast("decimal(38,0)"))
+    return df.groupBy(_block(key, blocks).alias("block")).agg(F.count("*").alias("n"), h(1).alias("a"), h(2).alias("b"))
+
+
+def _block(key: list[str], blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(k) for k in key)), F.lit(blocks)).cast("int")
+
+
+def parity_diff(left: DataFrame, right: DataFrame, key: list[str], blocks: int = 4096) -> DataFrame:
+    """(key, status, columns): rows on one side only, and rows whose columns differ, with their names.
+
+    Both sides are first reduced to a digest for each of `blocks` blocks of keys, and only blocks that
+    differ are read again, shuffled and compared: sides that agree move digests alone. Repeated keys count:
+    a key with the same rows more often on one side is `only_left` or `only_right` as often as it is over;
+    of keys with different rows the k-th of one side is compared with the k-th of the other.
+    """
     rest = [c for c in left.columns if c not in key]
-    l = left.select(*key, F.struct(*rest).alias("l"), F.lit(True).alias("_l"))
-    r = right.select(*(F.col(k) for k in key), F.struct(*rest).alias("r"), F.lit(True).alias("_r"))
-    both = l.join(r, key, "full_outer")
+    right = right.select(*left.columns)
+    l, r = range_digests(left, key, blocks), range_digests(right, key, blocks)
+    two = l.join(r.select("block", *(F.col(c).alias(f"r{c}") for c in ("n", "a", "b"))), "block", "full_outer")
+    apart = two.where(~(F.col("n").eqNullSafe(F.col("rn")) & F.col("a").eqNullSafe(F.col("ra")) & F.col("b").eqNullSafe(F.col("rb")))).select("block")
+    apart = F.broadcast(apart)  # a number for each of `blocks` blocks at most
+    whole = lambda df, sign: df.withColumn("_block", _block(key, blocks)).join(apart, F.col("_block") == F.col("block"), "left_semi").groupBy(*key, *rest).agg(F.count("*").alias("_n")).withColumn("_n", F.col("_n") * sign)
+    # rows that are on both sides as often cancel; what is over stays with its number
+    over = whole(left, 1).unionByName(whole(right, -1)).groupBy(*key, *rest).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    over = over.select("*", F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_i"))
+    side = lambda sign, name: over.where(F.col("_n") * sign > 0).select(*key, F.struct(*rest).alias(name), F.row_number().over(Window.partitionBy(*key).orderBy(*rest, "_i")).alias("_k"))
+    on = lambda a, b: reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in [*key, "_k"]))
+    a, b = side(1, "l").alias("a"), side(-1, "r").alias("b")
+    both = a.join(b, on({k: F.col(f"a.{k}") for k in [*key, "_k"]}, {k: F.col(f"b.{k}") for k in [*key, "_k"]}), "full_outer")
+    only_left, only_right = F.col("b._k").isNull(), F.col("a._k").isNull()
     differ = F.filter(F.array(*(F.when(~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), F.lit(c)) for c in rest)), lambda c: c.isNotNull())
-    status = F.when(F.col("_r").isNull(), "only_left").when(F.col("_l").isNull(), "only_right").when(F.size(differ) > 0, "differs")
-    return both.select(*key, status.alias("status"), F.when(status == "differs", F.array_join(differ, ",")).otherwise("").alias("columns")).where("status IS NOT NULL")
+    status = F.when(only_left, "only_left").when(only_right, "only_right").otherwise("differs")
+    return both.select(*(F.when(only_right, F.col(f"b.{k}")).otherwise(F.col(f"a.{k}")).alias(k) for k in key), status.alias("status"), F.when(status == "differs", F.array_join(differ, ",")).otherwise("").alias("columns"))

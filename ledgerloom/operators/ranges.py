@@ -99,10 +99,19 @@ def gap_ranges(frames: DataFrame) -> DataFrame:
 
 
 def dedup_frames(frames: DataFrame, arrival_col: str) -> DataFrame:
-    """The first frame of each seq by arrival."""
-    rest = [c for c in frames.columns if c != "seq"]
-    first = frames.groupBy("seq").agg(F.min_by(F.struct(*rest), arrival_col).alias("s"))
-    return first.select("seq", *(F.col(f"s.{c}").alias(c) for c in rest)).select(*frames.columns)
+    """The first frame of each seq by arrival; equal arrivals are told apart by their columns' hash, so reruns agree.
+
+    The winner is chosen on keys alone: a combined aggregate of (seq, arrival, hash), joined back.
+    """
+    names = {c.lower() for c in frames.columns}
+    hashed = "_h" + "_" * sum(1 for n in names if n.startswith("_h"))
+    rows = frames.withColumn(hashed, F.xxhash64(*frames.columns))
+    best = rows.groupBy(F.col("seq").alias("_seq")).agg(F.min(F.struct(F.col(arrival_col).alias("a"), F.col(hashed).alias("h"))).alias("_best"), F.count("*").alias("_n"))
+    repeated = best.where("_n > 1")
+    kept = rows.join(repeated, F.col("seq") == F.col("_seq"), "left").where(F.col("_best").isNull() | (F.col(arrival_col).eqNullSafe(F.col("_best.a")) & (F.col(hashed) == F.col("_best.h"))))
+    # what is left of a seq is equal rows; only those that repeat are brought together
+    once, more = kept.where("_n IS NULL"), kept.where("_n IS NOT NULL")
+    return once.select(*frames.columns).unionByName(more.select(*frames.columns).dropDuplicates(["seq"]))
 
 
 def ordered_frames(frames: DataFrame) -> DataFrame:

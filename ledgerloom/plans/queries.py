@@ -20,6 +20,8 @@ ORACLES: dict[str, str] = {}
 _NAMES = dict(orders="orders", lineitem="lineitem", part="part")
 _TX, _CMD, _OBJ = TX.format(**_NAMES), CMD.format(**_NAMES), OBJ.format(**_NAMES)
 _BASE = f"WITH tx AS ({_TX}), cmd AS ({_CMD}), obj0 AS ({_OBJ}), obj AS (SELECT *, coalesce(prev_alive, false) AS had FROM obj0) "
+#: The summary text of a command by its kind.
+ARGS = "(CASE kind WHEN 'MoveCall' THEN 'arg_count=' WHEN 'TransferObjects' THEN 'object_count=' WHEN 'SplitCoins' THEN 'split_count=' WHEN 'MergeCoins' THEN 'merge_count=' WHEN 'MakeMoveVec' THEN 'item_count=' ELSE 'module_count=' END || n1 || CASE WHEN kind IN ('Publish', 'Upgrade') THEN ',dep_count=' || n2 ELSE '' END)"
 _FRAMES = "SELECT CAST(floor(doc_id / 100) AS BIGINT) AS epoch, doc_id AS seq, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS length FROM documents"
 _F = f"WITH f AS ({_FRAMES}) "
 
@@ -206,11 +208,11 @@ def digest_fill(spark, sf_dir):
     return rules.digest_fill(cp, "digest", "raw").drop("raw")
 
 
-@register(_BASE + """SELECT digest, checkpoint_seq, timestamp_ms, epoch, CAST(position AS BIGINT) AS position, sender, 'ProgrammableTransaction' AS tx_kind, success,
+@register(_BASE + """SELECT digest, checkpoint_seq, timestamp_ms, epoch, CAST(position AS BIGINT) AS position, sender, tx_kind, success,
   CASE WHEN success THEN NULL WHEN tx_no % 2 = 0 THEN 'MoveAbort' ELSE 'InsufficientGas' END AS error_kind, CASE WHEN NOT success THEN CAST(0 AS BIGINT) END AS error_command_index,
   CASE WHEN NOT success AND tx_no % 2 = 0 THEN tx_no % 7 END AS error_abort_code, CASE WHEN NOT success AND tx_no % 2 = 0 THEN 'm' END AS error_module, CASE WHEN NOT success AND tx_no % 2 = 0 THEN 'f' END AS error_function,
   sender AS gas_owner, CAST(750 AS BIGINT) AS gas_price, CAST(0 AS BIGINT) AS gas_budget, tx_no % 1000 AS computation_cost, tx_no % 100 AS storage_cost, tx_no % 10 AS storage_rebate,
-  CAST(NULL AS STRING) AS gas_object_id, tx_no + 1 AS lamport_version, coalesce(d.n, 0) AS dependency_count, coalesce(c.n, 0) AS move_call_count, 'NONE' AS expiration_kind,
+  CAST(NULL AS STRING) AS gas_object_id, tx_no + 1 AS lamport_version, coalesce(d.n, 0) AS dependency_count, CASE WHEN programmable THEN coalesce(c.n, 0) ELSE 0 END AS move_call_count, 'NONE' AS expiration_kind,
   CAST(0 AS BIGINT) AS non_refundable_storage_fee, CAST(NULL AS STRING) AS events_digest, """ + ", ".join(f"CAST(NULL AS {k}) AS {c}" for k, names in (("STRING", "error_description error_sub_kind error_coin_type error_denied_address error_object_id expiration_chain"), ("BIGINT", "error_arg_idx error_type_arg_idx error_current_size error_max_size expiration_epoch expiration_min_epoch expiration_max_epoch expiration_min_ts_seconds expiration_max_ts_seconds expiration_nonce")) for c in names.split()) + """
   FROM tx LEFT JOIN (SELECT tx_no AS no1, count(DISTINCT prev_version) AS n FROM obj0 WHERE prev_version IS NOT NULL GROUP BY tx_no) d ON no1 = tx_no
   LEFT JOIN (SELECT tx_no AS no2, count(*) AS n FROM cmd WHERE kind = 'MoveCall' GROUP BY tx_no) c ON no2 = tx_no""")
@@ -218,13 +220,13 @@ def transactions(spark, sf_dir):
     return plain(flatten.transactions(fixtures.nested_checkpoints(spark, sf_dir, ["commands", "dependencies"])))
 
 
-@register(_BASE + "SELECT digest AS tx_digest, row_number() OVER (PARTITION BY tx_no ORDER BY i) - 1 AS call_index, package, module, function, checkpoint_seq, timestamp_ms FROM cmd JOIN tx USING (tx_no) WHERE cmd.kind = 'MoveCall'")
+@register(_BASE + "SELECT digest AS tx_digest, row_number() OVER (PARTITION BY tx_no ORDER BY i) - 1 AS call_index, package, module, function, checkpoint_seq, timestamp_ms FROM cmd JOIN tx USING (tx_no) WHERE cmd.kind = 'MoveCall' AND programmable")
 def move_calls(spark, sf_dir):
     return plain(flatten.move_calls(fixtures.nested_checkpoints(spark, sf_dir, ["commands"])))
 
 
-@register(_BASE + """SELECT digest AS tx_digest, CAST(i AS BIGINT) AS command_index, kind, CASE WHEN kind = 'MoveCall' THEN package END AS package, CASE WHEN kind = 'MoveCall' THEN module END AS module, CASE WHEN kind = 'MoveCall' THEN function END AS function,
-  CASE WHEN kind = 'MoveCall' AND n1 % 2 = 1 THEN concat('["T', arg, '"]') END AS type_arguments, concat(CASE kind WHEN 'MoveCall' THEN 'arg_count=' WHEN 'TransferObjects' THEN 'object_count=' ELSE 'split_count=' END, CAST(n1 AS STRING)) AS args, checkpoint_seq, timestamp_ms FROM cmd JOIN tx USING (tx_no)""")
+@register(_BASE + """SELECT digest AS tx_digest, CAST(i AS BIGINT) AS command_index, kind, CASE WHEN kind IN ('MoveCall', 'Upgrade') THEN package END AS package, CASE WHEN kind = 'MoveCall' THEN module END AS module, CASE WHEN kind = 'MoveCall' THEN function END AS function,
+  CASE WHEN kind IN ('MoveCall', 'MakeMoveVec') AND n1 % 2 = 1 THEN concat('["T', arg, '"]') END AS type_arguments, """ + ARGS + """ AS args, checkpoint_seq, timestamp_ms FROM cmd JOIN tx USING (tx_no) WHERE programmable""")
 def commands(spark, sf_dir):
     return plain(flatten.commands(fixtures.nested_checkpoints(spark, sf_dir, ["commands"])))
 
@@ -262,7 +264,7 @@ def epoch_committees(spark, sf_dir):
     return plain(flatten.epoch_committees(fixtures.nested_checkpoints(spark, sf_dir, ["committee"])))
 
 
-@register(_BASE + """SELECT digest AS tx_digest, coalesce(c.n, 0) AS command_count, coalesce(c.m, 0) AS move_call_count, coalesce(d.n, 0) AS dependency_count, coalesce(e.n, 0) AS event_count FROM tx
+@register(_BASE + """SELECT digest AS tx_digest, CASE WHEN programmable THEN coalesce(c.n, 0) ELSE 0 END AS command_count, CASE WHEN programmable THEN coalesce(c.m, 0) ELSE 0 END AS move_call_count, coalesce(d.n, 0) AS dependency_count, coalesce(e.n, 0) AS event_count FROM tx
   LEFT JOIN (SELECT tx_no AS no1, count(*) AS n, count(*) FILTER (kind = 'MoveCall') AS m FROM cmd GROUP BY tx_no) c ON no1 = tx_no LEFT JOIN (SELECT tx_no AS no2, count(DISTINCT prev_version) AS n FROM obj0 WHERE prev_version IS NOT NULL GROUP BY tx_no) d ON no2 = tx_no
   LEFT JOIN (SELECT CAST(floor(event_id / 2) AS BIGINT) AS no3, count(*) AS n FROM events GROUP BY 1) e ON no3 = tx_no""")
 def tx_array_counts(spark, sf_dir):
@@ -344,7 +346,7 @@ def holder_balances(spark, sf_dir):
     return plain(state.holder_balances(state.coin_balances(_cp(spark, sf_dir))))
 
 
-@register(_BASE + """SELECT 'transactions' AS "table", (SELECT count(*) FROM tx) AS n UNION ALL SELECT 'move_calls', (SELECT count(*) FROM cmd WHERE kind = 'MoveCall') UNION ALL SELECT 'commands', (SELECT count(*) FROM cmd)
+@register(_BASE + """SELECT 'transactions' AS "table", (SELECT count(*) FROM tx) AS n UNION ALL SELECT 'move_calls', (SELECT count(*) FROM cmd JOIN tx USING (tx_no) WHERE kind = 'MoveCall' AND programmable) UNION ALL SELECT 'commands', (SELECT count(*) FROM cmd JOIN tx USING (tx_no) WHERE programmable)
   UNION ALL SELECT 'object_changes', (SELECT count(*) FROM obj WHERE alive OR had) UNION ALL SELECT 'checkpoints', (SELECT count(DISTINCT checkpoint_seq) FROM tx)""")
 def extract_tables(spark, sf_dir):
     """Counts of five tables from one pass."""
@@ -371,15 +373,21 @@ def signer_stake(spark, sf_dir):
     return plain(quality.signer_stake(fixtures.signatures(spark, sf_dir), fixtures.committee(spark, sf_dir)))
 
 
-_OTHER = "o AS (SELECT epoch, seq, CASE WHEN seq % 10 = 3 THEN length + 1 ELSE length END AS length FROM f WHERE seq % 50 <> 7 UNION ALL SELECT 9999, -1, 5)"
+_SIDES = _F + """, l AS (SELECT epoch, seq, length FROM f UNION ALL SELECT epoch, seq, length FROM f WHERE seq % 40 = 1),
+  r AS (SELECT epoch, seq, CASE WHEN seq % 10 = 3 THEN length + 1 ELSE length END AS length FROM f WHERE seq % 50 <> 7 UNION ALL SELECT epoch, seq, length FROM f WHERE seq % 80 = 1 UNION ALL SELECT 9999, -1, 5 UNION ALL SELECT 9999, -1, 5)"""
 
 
-@register(_F + f", {_OTHER} SELECT coalesce(f.seq, o.seq) AS seq, CASE WHEN o.seq IS NULL THEN 'only_left' WHEN f.seq IS NULL THEN 'only_right' ELSE 'differs' END AS status, CASE WHEN o.seq IS NULL OR f.seq IS NULL THEN '' ELSE 'length' END AS columns FROM f FULL OUTER JOIN o ON f.seq = o.seq WHERE o.seq IS NULL OR f.seq IS NULL OR f.length <> o.length")
+@register(_SIDES + """, n AS (SELECT epoch, seq, length, sum(s) AS n FROM (SELECT *, 1 AS s FROM l UNION ALL SELECT *, -1 FROM r) GROUP BY ALL HAVING sum(s) <> 0), e AS (SELECT *, unnest(range(CAST(abs(n) AS BIGINT))) AS i FROM n),
+  k AS (SELECT seq, epoch, length, n > 0 AS left_, row_number() OVER (PARTITION BY seq, n > 0 ORDER BY epoch, length, i) AS k FROM e)
+  SELECT coalesce(a.seq, b.seq) AS seq, CASE WHEN b.seq IS NULL THEN 'only_left' WHEN a.seq IS NULL THEN 'only_right' ELSE 'differs' END AS status, CASE WHEN a.seq IS NULL OR b.seq IS NULL THEN '' ELSE 'length' END AS columns
+  FROM (SELECT * FROM k WHERE left_) a FULL JOIN (SELECT * FROM k WHERE NOT left_) b ON a.seq = b.seq AND a.k = b.k""")
 def parity_diff(spark, sf_dir):
+    """Rows that lack, differ and repeat on either side."""
     f = fixtures.frames(spark, sf_dir).drop("body")
-    other = f.where("seq % 50 <> 7").withColumn("length", F.when(F.col("seq") % 10 == 3, F.col("length") + 1).otherwise(F.col("length")))
-    other = other.unionByName(spark.sql("SELECT 9999L AS epoch, -1L AS seq, 5L AS length"))
-    return quality.parity_diff(f, other, ["seq"])
+    left = f.unionByName(f.where("seq % 40 = 1"))
+    other = f.where("seq % 50 <> 7").withColumn("length", F.when(F.col("seq") % 10 == 3, F.col("length") + 1).otherwise(F.col("length"))).unionByName(f.where("seq % 80 = 1"))
+    other = other.unionByName(spark.sql("SELECT 9999L AS epoch, -1L AS seq, 5L AS length FROM range(2)"))
+    return quality.parity_diff(left, other, ["seq"])
 
 
 # ---- aggregations
@@ -458,6 +466,17 @@ def first_n(spark, sf_dir):
 # ---- records and sinks
 
 
+# the layout as text: quantities are decimal strings, places are numbers, nulls are seen
+_LAID = _BASE + r"""SELECT 'dependencies' AS tbl, '"tx_digest":"' || digest || '","depends_on_digest":"' || (prev_version - 1) || '","checkpoint_seq":"' || checkpoint_seq || '","timestamp_ms":"' || timestamp_ms || '"' AS row FROM (SELECT DISTINCT tx_no, prev_version FROM obj0 WHERE prev_version IS NOT NULL) JOIN tx USING (tx_no)
+  UNION ALL SELECT 'commands', '"tx_digest":"' || digest || '","command_index":' || i || ',"kind":"' || kind || '","package":' || CASE WHEN kind IN ('MoveCall', 'Upgrade') THEN '"' || package || '"' ELSE 'null' END || ',"module":' || CASE WHEN kind = 'MoveCall' THEN '"' || module || '"' ELSE 'null' END || ',"function":' || CASE WHEN kind = 'MoveCall' THEN '"' || function || '"' ELSE 'null' END
+    || ',"type_arguments":' || CASE WHEN kind IN ('MoveCall', 'MakeMoveVec') AND n1 % 2 = 1 THEN '"[\"T' || arg || '\"]"' ELSE 'null' END || ',"args":"' || """ + ARGS + r""" || '","checkpoint_seq":"' || checkpoint_seq || '","timestamp_ms":"' || timestamp_ms || '"' FROM cmd JOIN tx USING (tx_no) WHERE programmable"""
+
+
+def _ledger(spark, sf_dir) -> dict[str, DataFrame]:
+    cp = fixtures.nested_checkpoints(spark, sf_dir, ["commands", "dependencies"])
+    return extract.extract_tables(cp, ["commands", "dependencies"])
+
+
 @register("SELECT 'nation' AS tbl, CAST(n_nationkey AS BIGINT) AS key, n_name AS name FROM nation UNION ALL SELECT 'customer', c_custkey, c_name FROM customer")
 def union_records(spark, sf_dir):
     u = records.union_records(_nations(spark, sf_dir))
@@ -493,15 +512,22 @@ def sink_epoch_files(spark, sf_dir):
     return spark.read.format("epoch_archive").load(path).select("epoch", "seq", F.md5("body").alias("md5"))
 
 
-@register(_F + ", m AS (SELECT epoch, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS count, CAST(sum(length) AS BIGINT) AS zst_bytes FROM f GROUP BY epoch) SELECT epoch, first_seq, last_seq, CASE WHEN epoch % 2 = 0 THEN count + 1 ELSE count END AS count, zst_bytes, CASE WHEN epoch % 2 = 0 THEN 'new' ELSE 'old' END AS zst_sha256 FROM m WHERE epoch > 0")
+@register(_F + ", m AS (SELECT epoch, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS count, CAST(sum(length) AS BIGINT) AS zst_bytes FROM f GROUP BY epoch) SELECT epoch, first_seq, last_seq, CASE WHEN epoch % 2 = 0 THEN count + 2 ELSE count END AS count, zst_bytes, CASE WHEN epoch % 2 = 0 THEN 'newer' ELSE 'old' END AS zst_sha256 FROM m WHERE epoch > 0")
 def upsert_manifest(spark, sf_dir):
+    """Two stored versions; the second brings even epochs twice, of which the later counts."""
     m = fixtures.manifest(spark, sf_dir).where("epoch > 0")
-    return archive.upsert_manifest(m.where("epoch <> 2").withColumn("zst_sha256", F.lit("old")), m.where("epoch % 2 = 0").withColumn("count", F.col("count") + 1).withColumn("zst_sha256", F.lit("new")))
+    store = archive.ManifestStore(spark, scratch(spark, "manifest"))
+    store.upsert(m.where("epoch <> 2").withColumn("zst_sha256", F.lit("old")))
+    even = [m.where("epoch % 2 = 0").select("*", (F.col("count") + k).alias("c"), F.lit(name).alias("zst_sha256"), F.lit(k).alias("at")).drop("count").withColumnRenamed("c", "count") for k, name in ((1, "new"), (2, "newer"))]
+    store.upsert(even[1].unionByName(even[0]), F.col("at"))
+    return plain(store.read())
 
 
-@register(_ROUND_TRIP)
+@register(_LAID)
 def sink_jsonl_tagged(spark, sf_dir):
-    return read_tagged_jsonl(spark, sf_dir)
+    path = scratch(spark, "tagged")
+    records.sink_jsonl_tagged(_ledger(spark, sf_dir), path)
+    return spark.read.text(path).select(F.get_json_object("value", "$._table").alias("tbl"), F.expr("substring(value, instr(value, ',') + 1, length(value) - instr(value, ',') - 1)").alias("row"))
 
 
 @register("SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
@@ -511,19 +537,26 @@ def sink_jsonl_single(spark, sf_dir):
     return plain(spark.read.schema(tables["customer"].schema).json(path)).select("c_custkey", "c_name", "c_nationkey")
 
 
-@register(_ROUND_TRIP)
+_WRAPPED = r"^\{\"table\":\"(\w+)\",\"row\":\{(.*)\}\}$"
+
+
+def _unwrapped(spark, path) -> DataFrame:
+    return spark.read.text(path).select(F.regexp_extract("value", _WRAPPED, 1).alias("tbl"), F.regexp_extract("value", _WRAPPED, 2).alias("row"))
+
+
+@register(_LAID)
 def sink_jsonl_wrapped(spark, sf_dir):
-    tables, path = _nations(spark, sf_dir), scratch(spark, "wrapped")
-    records.sink_jsonl_wrapped(tables, path)
-    return _read_back(spark, path, tables)
+    path = scratch(spark, "wrapped")
+    records.sink_jsonl_wrapped(_ledger(spark, sf_dir), path)
+    return _unwrapped(spark, path)
 
 
-@register(f"SELECT * FROM ({_ROUND_TRIP}) UNION ALL SELECT * FROM ({_ROUND_TRIP})")
+@register(f"SELECT * FROM ({_LAID}) UNION ALL SELECT * FROM ({_LAID})")
 def sink_append_file(spark, sf_dir):
-    tables, path = _nations(spark, sf_dir), scratch(spark, "append")
-    records.sink_append_file(tables, path)
-    records.sink_append_file(tables, path)
-    return _read_back(spark, path, tables)
+    path = scratch(spark, "append")
+    records.sink_append_file(_ledger(spark, sf_dir), path)
+    records.sink_append_file(_ledger(spark, sf_dir), path)
+    return _unwrapped(spark, path)
 
 
 @register(_F + "SELECT count(*) AS frames, CAST(sum(length) AS BIGINT) AS bytes FROM f")
@@ -580,7 +613,7 @@ def stall_gaps(spark, sf_dir):
     return g.select(F.unix_micros("stalled_from").alias("from_us"), F.unix_micros("stalled_to").alias("to_us"), "seconds")
 
 
-@register(_BASE + "SELECT 'transactions' AS tbl, digest AS key FROM tx UNION ALL SELECT 'move_calls', digest FROM cmd JOIN tx USING (tx_no) WHERE kind = 'MoveCall'")
+@register(_BASE + "SELECT 'transactions' AS tbl, digest AS key FROM tx UNION ALL SELECT 'move_calls', digest FROM cmd JOIN tx USING (tx_no) WHERE kind = 'MoveCall' AND programmable")
 def stream_extract(spark, sf_dir):
     path, out = scratch(spark, "nested"), scratch(spark, "extracted")
     cp = fixtures.nested_checkpoints(spark, sf_dir, ["commands"])

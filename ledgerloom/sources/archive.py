@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..operators.ranges import frame_places
+from ..schemas import MANIFEST
 
 ENTRY = 20
 #: A body of fewer bytes is no frame.
@@ -113,11 +114,84 @@ def epoch_manifest(frames: DataFrame, part_bytes: int = 32 << 20) -> DataFrame:
     )
 
 
-def upsert_manifest(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """existing with the rows of new put in or in place by epoch, the six stored columns."""
-    names = ["epoch", "first_seq", "last_seq", "count", "zst_bytes", "zst_sha256"]
-    kept = existing.select(*names).join(new.select("epoch"), "epoch", "left_anti")
-    return kept.select(*names).unionByName(new.select(*names))
+_MANIFEST = ("epoch", "first_seq", "last_seq", "count", "zst_bytes", "zst_sha256")
+
+
+def upsert_manifest(existing: DataFrame, new: DataFrame, order: Column | None = None) -> DataFrame:
+    """existing with the rows of new put in or in place by epoch, the six stored columns; one row an epoch.
+
+    Of several new rows of an epoch the last by `order` (a column of new) counts, else the one whose range
+    reaches furthest, then the largest of the rest: any order gives the same row.
+    """
+    whole = F.struct(*_MANIFEST)
+    last = F.struct(*([order.alias("_order")] if order is not None else []), "last_seq", "count", "zst_bytes", "zst_sha256", "first_seq")
+    latest = new.groupBy("epoch").agg(F.max_by(whole, last).alias("s")).select("s.*")
+    return existing.select(*_MANIFEST).join(latest.select("epoch"), "epoch", "left_anti").select(*_MANIFEST).unionByName(latest)
+
+
+class ManifestConflict(RuntimeError):
+    """Another writer published the version that this one was about to."""
+
+
+class ManifestStore:
+    """A manifest as numbered snapshots below a path: a table for each version, and a mark that makes it count.
+
+    A version counts once its mark `_versions/<n>`, which names the snapshot, exists. The mark is written
+    aside and renamed without overwriting, so it is whole or absent, and of two writers that start from
+    the same version one wins and the other raises ManifestConflict. A writer that dies before leaves a
+    snapshot that nobody reads, in a folder of its own. Needs a store with such a rename, as HDFS has it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        self._fs_path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+        self._fs = self._fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def version(self) -> int:
+        """The newest version; 0 before the first."""
+        marks = self._fs_path(f"{self.path}/_versions")
+        if not self._fs.exists(marks):
+            return 0
+        return max((int(f.getPath().getName()) for f in self._fs.listStatus(marks) if f.getPath().getName().isdigit()), default=0)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows of a version, else of the newest."""
+        n = self.version() if version is None else version
+        if n == 0:
+            return self.spark.createDataFrame([], MANIFEST)
+        stream = self._fs.open(self._fs_path(f"{self.path}/_versions/{n}"))
+        try:
+            name = stream.readUTF()
+        finally:
+            stream.close()
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.path}/{name}")
+
+    def upsert(self, new: DataFrame, order: Column | None = None, base: int | None = None) -> int:
+        """Publish the next version: `base`, else the newest one, with new put in by epoch. Returns its number."""
+        n = self.version() if base is None else base
+        name = self._stage(upsert_manifest(self.read(n), new, order))
+        self._publish(n + 1, name)
+        return n + 1
+
+    def _stage(self, rows: DataFrame) -> str:
+        name = f"snapshot-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(f"{self.path}/{name}")  # a row an epoch
+        return name
+
+    def _publish(self, version: int, name: str) -> None:
+        jvm, mark = self.spark._jvm, self._fs_path(f"{self.path}/_versions/{version}")
+        aside = self._fs_path(f"{self.path}/_versions/_{uuid.uuid4().hex}")
+        out = self._fs.create(aside)
+        out.writeUTF(name)
+        out.close()
+        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # no overwriting
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(mark.toUri(), self.spark._jsc.hadoopConfiguration()).rename(aside, mark, plain)
+        except Exception as e:
+            self._fs.delete(aside, False)
+            if self._fs.exists(mark):
+                raise ManifestConflict(f"version {version} is taken") from e
+            raise
 
 
 def archive_parts(frames: DataFrame, per_part: int = 32 << 20) -> DataFrame:
@@ -407,7 +481,3 @@ def decode_frames(frames: DataFrame, decode: Callable[[bytes], dict] = envelope,
 
     rows = frames.select("seq", "content").mapInPandas(run, "frame_seq bigint, seq bigint, summary binary, sig_epoch bigint, sig binary, bitmap binary, error string")
     return rows.where("error IS NULL").drop("error"), rows.where("error IS NOT NULL").select("frame_seq", "error")
-
-
-def scratch(base: str, tag: str) -> str:
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

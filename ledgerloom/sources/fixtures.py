@@ -12,17 +12,22 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
+
 PARTS = ("commands", "dependencies", "events", "signatures", "objects", "packages", "committee")
 #: A total order of lines; (l_orderkey, l_linenumber) repeats.
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
+# every kind of transaction: eight of ten programmable, one system programmable, the last tenth of the others in turn
+_OTHERS = " ".join(f"WHEN o_orderkey % 100 {'= ' + str(90 + k) if k < 8 else '>= 98'} THEN '{kind}'" for k, kind in enumerate(rules.TRANSACTION_KINDS[2:]))
 TX = """SELECT o_orderkey AS tx_no, CAST(o_orderkey AS STRING) AS digest, CAST(floor(o_orderkey / 10) AS BIGINT) AS checkpoint_seq,
   CAST(o_orderkey % 10 AS INT) AS position, CAST(floor(o_orderkey / 500) AS BIGINT) AS epoch,
   1704067200000 + CAST(floor(o_orderkey / 10) AS BIGINT) * 250 AS timestamp_ms, CAST(o_custkey AS STRING) AS sender,
-  o_orderstatus <> 'F' AS success, o_orderpriority AS priority FROM {orders}"""
+  o_orderstatus <> 'F' AS success, o_orderpriority AS priority, o_orderkey % 100 < 90 AS programmable,
+  CASE WHEN o_orderkey % 100 < 80 THEN 'ProgrammableTransaction' WHEN o_orderkey % 100 < 90 THEN 'ProgrammableSystemTransaction' """ + _OTHERS + " END AS tx_kind FROM {orders}"
 
 CMD = f"""SELECT l_orderkey AS tx_no, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) - 1 AS INT) AS i,
-  CASE l_returnflag WHEN 'R' THEN 'MoveCall' WHEN 'A' THEN 'TransferObjects' ELSE 'SplitCoins' END AS kind,
+  CASE WHEN l_returnflag = 'R' THEN 'MoveCall' WHEN l_partkey % 10 < 6 THEN (CASE l_returnflag WHEN 'A' THEN 'TransferObjects' ELSE 'SplitCoins' END) WHEN l_partkey % 10 = 6 THEN 'MergeCoins' WHEN l_partkey % 10 = 7 THEN 'Publish' WHEN l_partkey % 10 = 8 THEN 'Upgrade' ELSE 'MakeMoveVec' END AS kind,
   concat('0x', CAST(l_suppkey AS STRING)) AS package, concat('m', CAST(l_partkey % 7 AS STRING)) AS module, concat('f', CAST(l_linenumber AS STRING)) AS function,
   l_linenumber AS n1, CAST(l_quantity AS INT) AS n2, CAST(l_partkey % 4 AS STRING) AS arg FROM {{lineitem}}"""
 
@@ -71,7 +76,7 @@ def nested_checkpoints(spark: SparkSession, sf_dir: str, parts: Iterable[str] =
     commands = None
     if "commands" in parts:
         call = F.col("kind") == "MoveCall"
-        value = F.struct("kind", F.when(call, F.col("package")).alias("package"), F.when(call, F.col("module")).alias("module"), F.when(call, F.col("function")).alias("function"), F.when(F.col("n1") % 2 == 1, F.array(F.concat(F.lit("T"), "arg"))).otherwise(F.array().cast("array<string>")).alias("type_arguments"), "n1", "n2")
+        value = F.struct("kind", F.when(call | (F.col("kind") == "Upgrade"), F.col("package")).alias("package"), F.when(call, F.col("module")).alias("module"), F.when(call, F.col("function")).alias("function"), F.when(F.col("n1") % 2 == 1, F.array(F.concat(F.lit("T"), "arg"))).otherwise(F.array().cast("array<string>")).alias("type_arguments"), "n1", "n2")
         commands = _listed(piece(spark, sf_dir, CMD), "commands", "i", cast(value, COMMAND))
     attach("commands", commands, f"ARRAY<{COMMAND}>")
     events = None
@@ -123,7 +128,7 @@ def nested_checkpoints(spark: SparkSession, sf_dir: str, parts: Iterable[str] =
         F.array().cast("array<string>").alias("unwrapped_then_deleted"), F.array().cast("array<string>").alias("wrapped"), F.array().cast("array<string>").alias("published"), "changes",
     )
     t = F.struct(
-        "position", "digest", "sender", F.lit("ProgrammableTransaction").alias("kind"), F.lit(None).cast("string").alias("gas_owner"), F.lit(750).cast("decimal(20,0)").alias("gas_price"), F.lit(None).cast("decimal(20,0)").alias("gas_budget"),
+        "position", "digest", "sender", F.col("tx_kind").alias("kind"), F.lit(None).cast("string").alias("gas_owner"), F.lit(750).cast("decimal(20,0)").alias("gas_price"), F.lit(None).cast("decimal(20,0)").alias("gas_budget"),
         "commands", "signatures", F.lit(None).cast("array<struct<scheme:int,bytes:binary>>").alias("fallback_signatures"), effects.alias("effects"), "events", F.lit(None).cast(f"ARRAY<{EVENT}>").alias("fallback_events"), "objects",
     )
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("position", t.alias("t"))), lambda a, b: a["position"] - b["position"]), lambda x: x["t"])

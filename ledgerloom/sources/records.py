@@ -62,7 +62,7 @@ def tagged(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def wrapped(tables: Mapping[str, DataFrame]) -> DataFrame:
     """{"table": ..., "row": {...}} as JSON in `value`."""
-    return _union([df.select(F.to_json(F.struct(F.lit(n).alias("table"), F.struct("*").alias("row")), JSON).alias("value")) for n, df in tables.items()])
+    return _union([laid_out(n, df).select(F.to_json(F.struct(F.lit(n).alias("table"), F.struct("*").alias("row")), JSON).alias("value")) for n, df in tables.items()])
 
 
 def sink_jsonl_tagged(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists") -> None:

@@ -12,7 +12,7 @@ from ..operators import extract, flatten, quality, ranges, report, state
 from ..session import scratch
 from ..sources import archive, fixtures, records
 from ..sources.fixtures import CMD, OBJ, TX
-from ..streaming import streams
+from ..streaming import feed, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -582,14 +582,54 @@ def _feed(spark, sf_dir, repeats: bool = False) -> tuple[str, str]:
 _EVENTS = "SELECT event_id AS seq, event_type, value FROM events"
 
 
-@register(f"{_EVENTS} WHERE event_id >= 500")
+@register(_EVENTS)
 def live_source(spark, sf_dir):
-    path, schema = _feed(spark, sf_dir)
-    out = scratch(spark, "live")
-    streams.drain(streams.live_source(spark, path, schema, start_seq=500, files=2).drop("ts"), out, scratch(spark, "cursor"))
+    """Events from 0 on in bounded batches; half of the files are there first, the rest come in the wrong order, and the query is stopped in between."""
+    e = fixtures.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "event_type", "value")
+    rows = e.count()
+    path, out, cursor = (scratch(spark, n) for n in ("feed", "live", "cursor"))
+    quarter = lambda k: e.where(F.col("seq").between(k * rows // 4, (k + 1) * rows // 4 - 1))
+
+    def run() -> None:
+        q = feed.ordered_source(spark, path, e.schema, 0, max(1, rows // 6)).writeStream.format("parquet").option("checkpointLocation", cursor).start(out)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+    for k in (1, 0):
+        quarter(k).coalesce(1).write.mode("append").parquet(path)
+    run()
+    quarter(3).coalesce(1).write.mode("append").parquet(path)
+    run()  # nothing: the third quarter lacks
+    quarter(2).coalesce(1).write.mode("append").parquet(path)
+    run()
     return spark.read.parquet(out)
 
 
+@register("WITH g AS (SELECT user_id % 7 AS f, event_id AS s, lag(event_id) OVER (PARTITION BY user_id % 7 ORDER BY event_id) AS p FROM events WHERE event_id % 97 NOT IN (5, 6, 7)) SELECT CAST(f AS STRING) AS feed, p + 1 AS gap_start, s - 1 AS gap_end FROM g WHERE s - p > 1")
+def live_gaps(spark, sf_dir):
+    """Gaps that are open at the end of a stream whose files come in the wrong order, so many gaps open, change and close."""
+    e = fixtures.table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), (F.col("user_id") % 7).alias("feed")).where("seq % 97 NOT IN (5, 6, 7)")
+    path, out = scratch(spark, "feed"), scratch(spark, "gaps")
+    e.repartition(5, "seq").write.parquet(path)
+    streams.drain(streams.live_gaps(streams.live_source(spark, path, e.schema, files=1), "feed"), out, scratch(spark, "cursor"))
+    open_ = spark.read.parquet(out).groupBy("feed", "gap_start", "gap_end").agg(F.sum(F.when(F.col("opened"), 1).otherwise(-1)).alias("n"))
+    return open_.where("n > 0").drop("n")
+
+
+@register(_F + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, h AS md5 FROM f JOIN d ON seq = doc_id WHERE seq <= (SELECT max(seq) FROM f WHERE seq % 97 NOT IN (5, 6, 7)) AND seq >= (SELECT min(seq) FROM f WHERE seq % 97 NOT IN (5, 6, 7))")
+def live_refill(spark, sf_dir):
+    """A live feed with gaps, refilled from the archive as the gaps open: with the feed itself, every frame once."""
+    f = fixtures.frames(spark, sf_dir).select("epoch", "seq", "body").where("seq % 97 NOT IN (5, 6, 7)")
+    path, out = scratch(spark, "feed"), scratch(spark, "refill")
+    f.select("seq", F.lit("a").alias("feed")).repartitionByRange(3, "seq").write.parquet(path)
+    gaps = streams.live_gaps(streams.live_source(spark, path, "seq bigint, feed string", files=1), "feed")
+    streams.refill(gaps, _archived(spark, sf_dir), out, scratch(spark, "cursor"))
+    more = spark.read.schema("epoch bigint, seq bigint, body binary").parquet(out).select("epoch", "seq", "body")
+    return f.unionByName(more).select("epoch", "seq", F.md5("body").alias("md5"))
+
+
 @register(_EVENTS)
 def resume_backfill(spark, sf_dir):
     path, schema = _feed(spark, sf_dir)

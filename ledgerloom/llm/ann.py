@@ -5,11 +5,16 @@ product: the part of a residual that is parallel to its vector costs eta times a
 orthogonal part, in the choice of codes as well as in the centroids. Two four-bit codes share a
 byte. All rows are encoded. A query block scans the codes of a row block by table look-ups; the
 best of each block are scored exactly, in double precision, then all others whose look-up lies
-within its proven error of the k-th exact score. So the best of all blocks are the true ones.
+within the likely error of the k-th exact score: `sure` standard deviations of what the codes lose
+at right angles to a vector, taken as spread evenly over the dimensions. So rows that the codes
+cannot tell apart, as near copies, are all scored, while few others are. With sure=None the proven
+error counts, and the result is exact.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do vectors whose length is not the most frequent one (ties: the larger). Ties of the
-score go to the smaller id, null ids take no part. Empty tables give empty results.
+score go to the smaller id, null ids take no part. Rows that repeat an id are rows of their own, each
+a query, and candidates of each other. Empty tables give empty results. The key and the vector alone
+are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -21,10 +26,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Rows of the training sample, at most.
 SAMPLE = 16_384
 #: Rows and queries of a block, and how many of a row block are scored exactly at first.
-ROWS, QUERIES, RERANK = 32_768, 16_384, 128
+ROWS, QUERIES, RERANK = 32_768, 16_384, 32
+#: Standard deviations of the codes' error that count.
+SURE = 1.25
 #: Rows of a block as long as there are fewer blocks than cores.
 FEW = 4_096
 
@@ -138,10 +147,12 @@ class Errors:
     With x = |x| u the code of a row is g u + w, w orthogonal to u, and its look-up is g c + q.w with
     c = q.u = score / |x|. As |q.w| <= |w| sqrt(|q|^2 - c^2), a row of score s or more (s >= 0, g >= 0)
     has a look-up of g c - |w| sqrt(|q|^2 - c^2) or more at c = s / |x|, which grows with c.
-    Any row's look-up is at most |q| |x - code| below its score.
+    Any row's look-up is at most |q| |x - code| below its score. With `sure`, q.w counts as one coordinate
+    of a vector of that length in d - 1 dimensions, so many standard deviations of it.
     """
 
-    def __init__(self, model: Quantiser, x: np.ndarray, codes: np.ndarray):
+    def __init__(self, model: Quantiser, x: np.ndarray, codes: np.ndarray, sure: float | None = None):
+        self.shrink = 1.0 if sure is None else min(1.0, sure / max(1, x.shape[1] - 1) ** 0.5)
         self.norm, self.g, self.w, self.r = (np.empty(len(x)) for _ in range(4))
         for k in range(0, len(x), 8192):
             at, part, y = slice(k, k + 8192), model.padded(x[k : k + 8192]), model.decode(codes[k : k + 8192])
@@ -157,20 +168,23 @@ class Errors:
         if not score >= 0:
             return plain
         c = score / self.norm
-        return np.where(self.g >= 0, np.fmax(plain, self.g * c - self.w * np.sqrt(np.maximum(size * size - c * c, 0) + 1e-12 * size * size)), plain)
+        return np.where(self.g >= 0, np.fmax(plain, self.g * c - self.shrink * self.w * np.sqrt(np.maximum(size * size - c * c, 0) + 1e-12 * size * size)), plain)
+
 
+def scan(model: Quantiser, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, asks: np.ndarray, q: np.ndarray, k: int, rerank: int, sure: float | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """For each query (the row asks) its k best of the other rows, and how many were scored exactly; ids must ascend.
 
-def scan(model: Quantiser, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, rerank: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each query its k best of the rows; ids must ascend. `rerank` rows are scored at first, and as many more as it takes."""
+    `rerank` rows are scored at first, and as many more as it takes.
+    """
     columns, out = np.ascontiguousarray(codes.T), []
-    errors = Errors(model, x, codes)
+    errors = Errors(model, x, codes, sure)
     for a in range(0, len(q), 32):
         tables = model.tables(q[a : a + 32])
-        for t, qid, v in zip(tables, qids[a : a + 32], q[a : a + 32].astype(np.float64)):
+        for t, ask, v in zip(tables, asks[a : a + 32], q[a : a + 32].astype(np.float64)):
             rough = t[0][columns[0]]
             for j in range(1, len(columns)):
                 rough += t[j][columns[j]]
-            own = ids == qid
+            own = rows == ask
             rough[own] = -np.inf
             some = best_of(rough, max(rerank, k + 1))
             some = some[~own[some]]
@@ -184,7 +198,7 @@ def scan(model: Quantiser, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, qi
                 more = np.flatnonzero(rest)
                 some, exact = np.concatenate([some, more]), np.concatenate([exact, x[more].astype(np.float64) @ v])
             top = np.lexsort((ids[some], -exact))[:k]
-            out.append((np.full(len(top), qid), ids[some][top], exact[top]))
+            out.append((np.full(len(top), ask), ids[some][top], exact[top], len(some)))
     return out
 
 
@@ -195,10 +209,10 @@ def clean(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.where(fine).select(F.col(key).cast("long").alias("id"), v.alias("v"))
 
 
-def neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20, sample: int = SAMPLE, rows: int = ROWS, queries: int = QUERIES, rerank: int = RERANK) -> DataFrame:
+def neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20, sample: int = SAMPLE, rows: int = ROWS, queries: int = QUERIES, rerank: int = RERANK, sure: float | None = SURE) -> DataFrame:
     """query_id, rank, vec_id and score of the k rows nearest to each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, ask long, vec_id long, score double"
     good = clean(vectors, key, vector)
     kind = np.float32 if "array<float>" in vectors.schema[vector].dataType.simpleString() else np.float64  # products are in double
     lengths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
@@ -215,25 +229,27 @@ def neighbours(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.stack(b["v"].to_numpy()) if len(b) else np.empty((0, d))
-            yield pd.DataFrame({"id": b["id"], "v": [r.tobytes() for r in x.astype(kind)], "code": [r.tobytes() for r in model_of.value.encode(x)]})
+            yield pd.DataFrame({"id": b["id"], "row": b["row"], "v": [r.tobytes() for r in x.astype(kind)], "code": [r.tobytes() for r in model_of.value.encode(x)]})
 
     n_rows, n_queries = max(-(-n // rows), min(spark.sparkContext.defaultParallelism, -(-n // FEW))), max(1, -(-n // (every * queries)))
-    coded = good.mapInPandas(encode, "id long, v binary, code binary").withColumn("_h", F.xxhash64("id"))
-    cell = lambda many, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(many)).cast("int")
+    # rows get numbers of their own, written with them, as ids may repeat
+    coded = written(good.withColumn("row", F.monotonically_increasing_id()).mapInPandas(encode, "id long, row long, v binary, code binary"), "codes")
+    cell = lambda many, salt: F.pmod(F.xxhash64(F.lit(salt), "row"), F.lit(many)).cast("int")
     each = lambda many, name: F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias(name)
-    left = coded.select("id", "v", "code", cell(n_rows, 1).alias("r"), each(n_queries, "q")).withColumn("asks", F.lit(False))
-    right = coded.where(F.col("id") % every == 0).select("id", "v", "code", cell(n_queries, 2).alias("q"), each(n_rows, "r")).withColumn("asks", F.lit(True))
+    left = coded.select("id", "row", "v", "code", cell(n_rows, 1).alias("r"), each(n_queries, "q")).withColumn("asks", F.lit(False))
+    right = coded.where(F.col("id") % every == 0).select("id", "row", "v", "code", cell(n_queries, 2).alias("q"), each(n_rows, "r")).withColumn("asks", F.lit(True))
 
     def search(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("id", kind="stable")
-        base, asks = g[~g["asks"]], g[g["asks"]].drop_duplicates("id")
+        g = g.sort_values(["id", "row"], kind="stable")
+        base, asks = g[~g["asks"]], g[g["asks"]]
         if not len(base) or not len(asks):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "ask": [], "vec_id": [], "score": []})
         as_rows = lambda c, of: np.frombuffer(b"".join(c), of).reshape(len(c), -1)
-        found = scan(model_of.value, base["id"].to_numpy(), as_rows(base["v"], kind), as_rows(base["code"], np.uint8), asks["id"].to_numpy(), as_rows(asks["v"], kind), k, rerank)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*found)))))
+        found = scan(model_of.value, base["row"].to_numpy(), base["id"].to_numpy(), as_rows(base["v"], kind), as_rows(base["code"], np.uint8), asks["row"].to_numpy(), as_rows(asks["v"], kind), k, rerank, sure)
+        out = pd.DataFrame(dict(zip(("ask", "vec_id", "score"), map(np.concatenate, zip(*(f[:3] for f in found))))))
+        return out.assign(query_id=out["ask"].map(dict(zip(asks["row"], asks["id"]))))[["query_id", "ask", "vec_id", "score"]]
 
     hits = left.unionByName(right).groupBy("r", "q").applyInPandas(search, schema)
-    best = hits.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
+    best = hits.groupBy("query_id", "ask").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
     found = best.select("query_id", F.posexplode("top").alias("i", "t"))
     return found.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"), (-F.col("t.s")).alias("score"))

@@ -509,7 +509,7 @@ def sink_epoch_files(spark, sf_dir):
     """The same in the form of files, through the data source."""
     path = scratch(spark, "epochs")
     archive.sink_epoch_files(_packed(spark, sf_dir), path, 1 << 18)
-    return spark.read.format("epoch_archive").load(path).select("epoch", "seq", F.md5("body").alias("md5"))
+    return spark.read.format("epoch_archive").load(path).where("seq >= 0").select("epoch", "seq", F.md5("body").alias("md5"))
 
 
 @register(_F + ", m AS (SELECT epoch, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS count, CAST(sum(length) AS BIGINT) AS zst_bytes FROM f GROUP BY epoch) SELECT epoch, first_seq, last_seq, CASE WHEN epoch % 2 = 0 THEN count + 2 ELSE count END AS count, zst_bytes, CASE WHEN epoch % 2 = 0 THEN 'newer' ELSE 'old' END AS zst_sha256 FROM m WHERE epoch > 0")
@@ -664,6 +664,28 @@ def stream_extract(spark, sf_dir):
     return t.select(F.lit("transactions").alias("tbl"), F.col("digest").alias("key")).unionByName(m.select(F.lit("move_calls").alias("tbl"), F.col("tx_digest").alias("key")))
 
 
+@register(_BASE + """SELECT 'transactions' AS "table", (SELECT count(*) FROM tx) AS n UNION ALL SELECT 'move_calls', (SELECT count(*) FROM cmd JOIN tx USING (tx_no) WHERE kind = 'MoveCall' AND programmable) UNION ALL SELECT 'commands', (SELECT count(*) FROM cmd JOIN tx USING (tx_no) WHERE programmable)
+  UNION ALL SELECT 'object_changes', (SELECT count(*) FROM obj WHERE alive OR had) UNION ALL SELECT 'checkpoints', (SELECT count(DISTINCT checkpoint_seq) FROM tx)""")
+def live_counts(spark, sf_dir):
+    """Rows of five tables, observed batch by batch while a stream writes them."""
+    path, out, counts = scratch(spark, "nested"), scratch(spark, "extracted"), scratch(spark, "counts")
+    cp = fixtures.nested_checkpoints(spark, sf_dir, ["commands", "objects"])
+    cp.repartition(3).write.parquet(path)
+    stream = spark.readStream.schema(cp.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    streams.stream_extract(stream, ["checkpoints", "transactions", "move_calls", "commands", "object_changes"], out, scratch(spark, "cursor"), counts).awaitTermination()
+    return spark.read.parquet(counts).groupBy("table").agg(F.sum("n").alias("n"))
+
+
+@register(_LOG + ", last AS (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY checkpoint_seq DESC, position DESC, is_deleted) AS n FROM log) SELECT owner_id, coin_type, CAST(sum(balance) AS BIGINT) AS balance, count(*) AS coins FROM last WHERE n = 1 AND NOT is_deleted GROUP BY ALL")
+def running_holdings(spark, sf_dir):
+    """Holdings held up to date by a stream of coin changes in three batches, folded on the way."""
+    path, out = scratch(spark, "log"), scratch(spark, "holdings")
+    log = state.coin_balances(_cp(spark, sf_dir))
+    log.repartition(3, "object_id").write.parquet(path)
+    streams.running_holdings(spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path), out, scratch(spark, "cursor"), fold=2).awaitTermination()
+    return plain(streams.holdings_now(spark, out))
+
+
 @register(_F + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, h AS md5 FROM f JOIN d ON seq = doc_id WHERE seq <= (SELECT max(seq) FROM f WHERE seq % 97 NOT IN (5, 6, 7))")
 def fill_gaps(spark, sf_dir):
     gapped = fixtures.frames(spark, sf_dir).select("epoch", "seq", "body").where("seq % 97 NOT IN (5, 6, 7)")

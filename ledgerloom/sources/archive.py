@@ -18,7 +18,22 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceWriter,
+    EqualNullSafe,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+    Not,
+    WriterCommitMessage,
+)
 
 from ..operators.ranges import frame_places
 from ..schemas import MANIFEST
@@ -279,13 +294,43 @@ class _ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.first, self.last = local_path(options["path"]), int(options.get("from", 0)), int(options.get("to", (1 << 64) - 1))
         self.run = int(options.get("runBytes", RUN))
+        self.epochs: tuple[int, int, frozenset[int] | None] = (0, (1 << 63) - 1, None)
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Comparisons of seq and epoch become ranges, which index files are searched for; an epoch out of range is not opened. Spark keeps the rest."""
+        for f in filters:
+            name, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if name not in (("seq",), ("epoch",)) or isinstance(f, Not) or not (isinstance(f, In) or isinstance(value, int)):
+                yield f
+                continue
+            if isinstance(f, In):
+                known = [v for v in value if isinstance(v, int)]
+                low, high, some = min(known, default=0), max(known, default=-1), frozenset(known)
+                if name == ("seq",):
+                    yield f  # numbers between those of the list are read, so Spark looks again
+            else:
+                some = None
+                low = value + 1 if isinstance(f, GreaterThan) else value if isinstance(f, (GreaterThanOrEqual, EqualTo, EqualNullSafe)) else 0
+                high = value - 1 if isinstance(f, LessThan) else value if isinstance(f, (LessThanOrEqual, EqualTo, EqualNullSafe)) else (1 << 64) - 1
+                if not isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo, EqualNullSafe)):
+                    yield f
+                    continue
+            if name == ("seq",):
+                self.first, self.last = max(self.first, low), min(self.last, high)
+            else:
+                a, b, among = self.epochs
+                self.epochs = (max(a, low), min(b, high), some if among is None else among if some is None else among & some)
 
     def partitions(self) -> list[InputPartition]:
         out = []
         for name in sorted(os.listdir(self.path)):
             if not name.endswith(".idx"):
                 continue
-            size, epoch = os.path.getsize(f"{self.path}/{name}"), int(name[:-4])
+            low, high, among = self.epochs
+            epoch = int(name[:-4])
+            if not low <= epoch <= high or (among is not None and epoch not in among) or self.first > self.last:
+                continue
+            size = os.path.getsize(f"{self.path}/{name}")
             if size % ENTRY:
                 raise ValueError(f"{name}: size is no multiple of {ENTRY}")
             n = size // ENTRY
@@ -308,9 +353,11 @@ class _ArchiveReader(DataSourceReader):
                 high = mid
         return low
 
-    def read(self, partition: _Run) -> Iterator[tuple]:
+    def read(self, partition: _Run | None) -> Iterator[tuple]:
         import zstandard
 
+        if partition is None:  # what Spark makes of no partitions
+            return
         z, p = zstandard.ZstdDecompressor(), partition
         with open(f"{self.path}/{p.epoch}.idx", "rb") as index, open(f"{self.path}/{p.epoch}.zst", "rb") as f:
             index.seek(p.a * ENTRY)
@@ -381,7 +428,8 @@ class _ArchiveWriter(DataSourceWriter):
 class EpochArchive(DataSource):
     """spark.read.format("epoch_archive"): {epoch}.zst with {epoch}.idx on a mounted file system, by byte ranges.
 
-    Options of a read: path, from, to, runBytes (bytes of a task, about); index entries ascend by seq.
+    Options of a read: path, from, to, runBytes (bytes of a task, about); index entries ascend by seq. Filters
+    on seq and epoch are pushed down. register_archive makes it known.
     A write takes the rows of archive_parts; an epoch that is there is an error, or is replaced in mode
     overwrite. For other stores use the table form.
     """
@@ -400,9 +448,15 @@ class EpochArchive(DataSource):
         return _ArchiveWriter(self.options, overwrite)
 
 
+def register_archive(spark: SparkSession) -> None:
+    """Make the format epoch_archive known, with filters pushed down to it."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(EpochArchive)
+
+
 def sink_epoch_files(frames: DataFrame, path: str, per_part: int = 32 << 20, mode: str = "append") -> None:
     """Write frames (epoch, seq, content, length) as {epoch}.zst and {epoch}.idx."""
-    frames.sparkSession.dataSource.register(EpochArchive)
+    register_archive(frames.sparkSession)
     archive_parts(frames, per_part).select("epoch", "begin", "rank", "entries", "data").write.format("epoch_archive").mode(mode).save(path)
 
 

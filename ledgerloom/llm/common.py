@@ -9,6 +9,7 @@ import uuid
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,6 +63,24 @@ def set_aside(df: DataFrame, *new: str) -> DataFrame:
     return df
 
 
+def running(rows: DataFrame, keys: list[str], order: list[Column], block: Column, sums: dict[str, Column], zero: dict[str, Column], agg=F.sum) -> DataFrame:
+    """rows plus running aggregates up to and with each row, by keys: inside blocks, plus those of the blocks before.
+
+    block must not fall along the order.
+    """
+    inside = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    r = rows.withColumn("_b", block)
+    r = r.select("*", *(agg(v).over(inside).alias(f"_in_{n}") for n, v in sums.items()))
+    ends = r.groupBy(*keys, "_b").agg(*(agg(v).alias(n) for n, v in sums.items()))
+    ahead = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_kb"), *(agg(n).over(ahead).alias(f"_of_{n}") for n in sums))
+    ends = ends.where(" OR ".join(f"_of_{n} IS NOT NULL" for n in sums))  # the first block of a key needs none
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_b").eqNullSafe(F.col("_kb"))]
+    both = r.join(ends, on, "left")
+    plus = lambda n: F.col(f"_in_{n}").bitwiseXOR(F.coalesce(f"_of_{n}", zero[n])) if agg is F.bit_xor else F.col(f"_in_{n}") + F.coalesce(f"_of_{n}", zero[n])
+    return both.select(*rows.columns, *(plus(n).alias(n) for n in sums))
+
+
 def crc32_of_id(name: str = "doc_id") -> Column:
     """crc32 of the id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))

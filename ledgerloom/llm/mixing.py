@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, written
+from .common import WORD, running, written
 
+#: Rows alike in id and size that are numbered at a time, where they stand together.
+ALIKE = 4096
 #: Documents that one flight takes, and those that it leaves open for the landing.
 BLOCK, OPEN = 20_000, 14
 _TINY = 1e-9
@@ -133,14 +135,16 @@ def _seed(*parts: object) -> np.random.Generator:
 
 def mix(docs: DataFrame, seed: int = 0, weights: Sequence[float] = (1, 2, 3), most: float = 3.0, block: int = BLOCK, open_: int = OPEN, carry: Sequence[str] = ()) -> DataFrame:
     """docs (doc_id, source, size and what to carry) plus source_size, target, copies and taken = copies * size."""
-    docs = docs.select("doc_id", "source", F.col("size").cast("long").alias("size"), *carry)
+    docs = docs.select("doc_id", "source", F.col("size").cast("long").alias("size"), *carry, F.monotonically_increasing_id().alias("_row"))
     docs = written(docs, "mix-sizes")
     sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs")), weights, most)
     sources = written(sources, "mix-sources")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = docs.join(sources.withColumn("_rate", rate).select(F.col("source").alias("_s"), "source_size", "target", "_rate"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     rows = rows.withColumn("_full", F.floor(F.col("_rate") + _TINY)).withColumn("_p", F.greatest(F.lit(0.0), F.col("_rate") - F.col("_full"))).drop("_rate")
-    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size"))
+    # rows alike in id and size are told apart by their number among them, so that they fly in different blocks; whichever gets which, reruns agree
+    rows = running(rows, ["doc_id", "size"], [F.col("_row")], F.floor(F.col("_row") / ALIKE), {"_k": F.lit(1)}, {"_k": F.lit(0)})
+    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size", F.when(F.col("_k") > 1, F.col("_k")))).drop("_row", "_k")
 
     def fly(level: int, last: bool):
         def run(g: pa.Table) -> pa.Table:

@@ -25,9 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import WORD, bounded_batches, mix64, written
+from .common import WORD, bounded_batches, mix64, running, written
 
 #: Turns, ids and nodes of a path that are aggregated at a time.
 SPAN = 1024
@@ -37,24 +36,6 @@ ROWS, WIDTH = 3, 1 << 24
 _CHUNK = 1 << 16
 
 
-def _before(rows: DataFrame, keys: list[str], order: list[Column], block: Column, sums: dict[str, Column], zero: dict[str, Column], agg=F.sum) -> DataFrame:
-    """rows plus running aggregates up to and with each row, by keys: inside blocks, plus those of the blocks before.
-
-    block must not fall along the order.
-    """
-    inside = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    r = rows.withColumn("_b", block)
-    r = r.select("*", *(agg(v).over(inside).alias(f"_in_{n}") for n, v in sums.items()))
-    ends = r.groupBy(*keys, "_b").agg(*(agg(v).alias(n) for n, v in sums.items()))
-    ahead = Window.partitionBy(*keys).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_kb"), *(agg(n).over(ahead).alias(f"_of_{n}") for n in sums))
-    ends = ends.where(" OR ".join(f"_of_{n} IS NOT NULL" for n in sums))  # the first block of a key needs none
-    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)] + [F.col("_b").eqNullSafe(F.col("_kb"))]
-    both = r.join(ends, on, "left")
-    plus = lambda n: F.col(f"_in_{n}").bitwiseXOR(F.coalesce(f"_of_{n}", zero[n])) if agg is F.bit_xor else F.col(f"_in_{n}") + F.coalesce(f"_of_{n}", zero[n])
-    return both.select(*rows.columns, *(plus(n).alias(n) for n in sums))
-
-
 def _half(digest: Column, first: int) -> Column:
     """A long from 64 bits of a digest in hex."""
     return F.conv(F.substring(digest, first, 16), 16, -10).cast("long")
@@ -67,7 +48,7 @@ def turns(conversations: DataFrame) -> DataFrame:
     words = F.regexp_count(text, F.lit(WORD)).cast("long")
     rows = conversations.where("conv_id IS NOT NULL").select("conv_id", "turn", role.alias("role"), digest.alias("h"), words.alias("words"))
     order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("h")]
-    ranked = _before(rows, ["conv_id"], order, F.floor(F.col("turn") / SPAN), {"no": F.lit(1)}, {"no": F.lit(0)})
+    ranked = running(rows, ["conv_id"], order, F.floor(F.col("turn") / SPAN), {"no": F.lit(1)}, {"no": F.lit(0)})
     return ranked.select("conv_id", "no", _half(F.col("h"), 1).alias("a"), _half(F.col("h"), 17).alias("b"), "words")
 
 
@@ -94,7 +75,7 @@ def prefixes(conversations: DataFrame) -> DataFrame:
     mixed = lambda seed: F.when(F.col("no") == 0, F.lit(0).cast("long")).otherwise(F.xxhash64("a", "b", "no", F.lit(seed)))
     rows = rows.select("conv_id", "no", mixed(1).alias("u"), mixed(2).alias("v"), "words")
     zero = F.lit(0).cast("long")
-    run = _before(rows, ["conv_id"], [F.col("no")], F.floor(F.col("no") / SPAN), {"x": F.col("u"), "y": F.col("v")}, {"x": zero, "y": zero}, F.bit_xor)
+    run = running(rows, ["conv_id"], [F.col("no")], F.floor(F.col("no") / SPAN), {"x": F.col("u"), "y": F.col("v")}, {"x": zero, "y": zero}, F.bit_xor)
     last = rows.groupBy(F.col("conv_id").alias("_c")).agg(F.max("no").alias("_n"))
     run = run.join(last, F.col("conv_id") == F.col("_c"))
     return run.select("conv_id", F.col("no").alias("depth"), "x", "y", F.col("x").bitwiseXOR(F.col("u")).alias("px"), F.col("y").bitwiseXOR(F.col("v")).alias("py"), "words", (F.col("no") == F.col("_n")).alias("ends"))
@@ -221,7 +202,7 @@ def trie(conversations: DataFrame, width: int | None = None) -> DataFrame:
     ended = lone.where("ends").select(F.col("conv_id").alias("owner"), long(0).alias("saved"), long(1).alias("leaf"), F.lit(None).cast("long").alias("from"))
     totals = own.select("owner", "saved", F.when(F.col("n_children") == 0, 1).otherwise(0).cast("long").alias("leaf"), F.col("depth").alias("from")).unionByName(ended)
     totals = totals.groupBy("owner").agg(F.sum("saved").alias("total"), F.sum("leaf").alias("leaf"), F.min("from").alias("from"))
-    above = _before(own.select("x", "y", "owner", "depth", "saved"), ["owner"], [F.col("depth")], F.floor(F.col("depth") / SPAN), {"upto": F.col("saved")}, {"upto": long(0)})
+    above = running(own.select("x", "y", "owner", "depth", "saved"), ["owner"], [F.col("depth")], F.floor(F.col("depth") / SPAN), {"upto": F.col("saved")}, {"upto": long(0)})
     below = above.join(totals.select("owner", "total"), "owner").select("x", "y", (F.col("total") - F.col("upto") + F.col("saved")).alias("down"))
     t = totals.where("total > 0 OR leaf > 0").select(F.col("owner").alias("conv_id"), "total", "leaf", "from")
     given = shared.select("conv_id", "depth", "x", "y").join(t, "conv_id")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import set_aside, written
 
 SEGMENT = 1 << 15
 CHUNK = 1 << 12
@@ -56,6 +56,7 @@ def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 1000) -
     Of rows with equal payloads of at least `least` bytes the largest key is the response and the
     others revisit it. Only digests that occur more than once are joined.
     """
+    pages = set_aside(pages, "_body", "_share", "_digest", "_winner", "payload_digest", "record_type", "refers_to")
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.withColumn("_body", body).withColumn("payload_digest", F.sha1(F.col("_body")))
     share = F.when(F.col(key).isNotNull() & (F.octet_length("_body") >= least), F.col("payload_digest"))
@@ -70,13 +71,14 @@ def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 1000) -
 
 
 def write_warc(pages: DataFrame, path: str, key: str, url: str | None = None, payload: str = "html", segment: int = SEGMENT, chunk: int = CHUNK, per_file: int = PER_FILE, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write one record for each page; copies of a payload become revisit records."""
-    rows = mark_revisits(pages, key, payload)
+    """Write one record for each page; copies of a payload become revisit records. Other columns are not read; an empty table gives no records."""
+    at = F.col(url).cast("string") if url else F.lit("")
+    rows = mark_revisits(pages.select(F.col(key).alias("key"), at.alias("url"), F.col(payload).alias("payload")), "key", "payload")
     revisit = F.col("record_type") == "revisit"
     head = F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Transfer-Encoding: chunked{END}")
     block = F.when(revisit, head).otherwise(F.concat(head, _chunked(F.col("_body"), chunk))).cast("binary")
-    uri = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), r"[\x00-\x20]", "%20") if url else F.lit("")
-    name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.monotonically_increasing_id().cast("string"), F.lit(">"))
+    uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]", "%20")
+    name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(":"), F.monotonically_increasing_id().cast("string"), F.lit(">"))
     rows = rows.select(name.alias("name"), "payload_digest", "record_type", "refers_to", uri.alias("uri"), block.alias("block"))
     n = F.greatest(F.lit(1), F.ceil(F.octet_length("block") / F.lit(segment)).cast("int"))
     cut = rows.withColumn("total", F.octet_length("block")).select("*", F.posexplode(F.sequence(F.lit(0), n - 1)).alias("i", "_at"), n.alias("n"))

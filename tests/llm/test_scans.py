@@ -200,3 +200,31 @@ def test_whitening_of_odd_vectors(spark):
     assert whitening.whiten(df.where("vec_id < 0")).count() == 0
     same = whitening.whiten(df.where("vec_id IN (0, 100)")).collect()
     assert len(same) == 10 and all(r.whitened == 0 and r.n == 1 and r.deviation == 0 and r.explained == 0 for r in same)
+
+
+# ---- mends of earlier operators
+
+
+def test_pages_with_clashing_columns(spark, tmp_path):
+    from ledgerloom.llm import warc
+
+    pages = spark.createDataFrame([(1, "u", "x" * 1200), (2, "u", "x" * 1200), (3, None, None)], "page_id long, url string, html string")
+    pages = pages.selectExpr("*", "1 AS _digest", "2 AS _winner", "3 AS _body", "4 AS key", "5 AS payload", "6 AS record_type")
+    warc.write_warc(pages, f"file://{tmp_path}/w", key="page_id", url="url", payload="html")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.resolve(warc.read_warc(spark, f"file://{tmp_path}/w")).collect()}
+    assert got == {1: ("revisit", 2), 2: ("response", None), 3: ("response", None)}
+    marked = warc.mark_revisits(pages, "page_id", "html")
+    assert {(r["page_id"], r["record_type"], r["_digest_in"], r["record_type_in"]) for r in marked.collect()} == {(1, "revisit", 1, 6), (2, "response", 1, 6), (3, "response", 1, 6)}
+
+
+def test_mix_of_rows_alike(spark, monkeypatch):
+    """Rows alike in id and size fly in many blocks, whose makeup does not hang on where the rows stand."""
+    from ledgerloom.llm import mixing
+
+    docs = spark.createDataFrame([(7, "a", 10)] * 3000 + [(k, "b", k % 9 + 1) for k in range(500)] + [(None, "a", 10)] * 200, "doc_id long, source string, size long")
+    out = mixing.mix(docs, block=256)
+    total = out.groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert out.count() == 3700 and all(abs(r["sum(taken)"] - r["max(target)"]) <= 10 for r in total)
+    again = mixing.mix(docs.repartition(5), block=256)
+    count = lambda df: sorted((r["doc_id"] is None, r["doc_id"], r["size"], r["taken"], r["count"]) for r in df.where("doc_id IS NOT NULL").groupBy("doc_id", "size", "taken").count().collect())
+    assert count(out) == count(again)

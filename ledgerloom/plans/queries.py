@@ -12,7 +12,7 @@ from ..operators import extract, flatten, quality, ranges, report, state
 from ..session import scratch
 from ..sources import archive, fixtures, records
 from ..sources.fixtures import CMD, OBJ, TX
-from ..streaming import feed, streams
+from ..streaming import feed, frame_log, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -691,6 +691,19 @@ def fill_gaps(spark, sf_dir):
     return streams.fill_gaps(gapped, _archived(spark, sf_dir)).select("epoch", "seq", F.md5("body").alias("md5"))
 
 
+@register(_F + ", d AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) SELECT epoch, seq, length, h AS md5 FROM f JOIN d ON seq = doc_id")
+def stream_archive(spark, sf_dir):
+    """Frames streamed into a log of archive parts: half of the files, a restart, the rest; then made an archive table and read from it."""
+    path, out, packed, cursor = (scratch(spark, n) for n in ("feed", "frame-log", "archive", "cursor"))
+    frames = _packed(spark, sf_dir).select("epoch", "seq", "content")
+    for half in (0, 1):
+        frames.where(F.col("seq") % 2 == half).repartition(3, "seq").write.mode("append").parquet(path)
+        frame_log.sink_frame_log(streams.live_source(spark, path, frames.schema, files=2), out, cursor, per_part=1 << 18).awaitTermination()
+    frame_log.logged_parts(spark, out).write.partitionBy("epoch").parquet(packed)
+    got = archive.epoch_frames(spark, packed, -(1 << 63), (1 << 63) - 1)
+    return got.select("epoch", "seq", F.octet_length("body").cast("bigint").alias("length"), F.md5("body").alias("md5"))
+
+
 @register(_EVENTS)
 def custom_sink(spark, sf_dir):
     path, schema = _feed(spark, sf_dir)

@@ -245,7 +245,7 @@ def archive_index(spark: SparkSession, path: str) -> DataFrame:
     return _parts(spark, path).select("epoch", F.explode("entries").alias("e")).select("epoch", "e.seq", "e.offset", "e.length")
 
 
-def _inflated(parts: DataFrame) -> DataFrame:
+def inflated(parts: DataFrame) -> DataFrame:
     """(epoch, seq, body) of the entries `wanted` of parts (epoch, begin, data, wanted)."""
 
     def inflate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +265,7 @@ def epoch_frames(spark: SparkSession, path: str, from_: int, to: int) -> DataFra
     """(epoch, seq, body) of the frames in [from_, to]; a part's first and last seq are pushed down, and nothing is shuffled."""
     hit = _parts(spark, path).where((F.col("last_seq") >= from_) & (F.col("first_seq") <= to))
     wanted = F.filter("entries", lambda e: e["seq"].between(from_, to))
-    return _inflated(hit.withColumn("wanted", F.transform(wanted, lambda e: F.struct(e["seq"].alias("seq"), e["offset"].alias("offset"), e["length"].alias("length")))))
+    return inflated(hit.withColumn("wanted", F.transform(wanted, lambda e: F.struct(e["seq"].alias("seq"), e["offset"].alias("offset"), e["length"].alias("length")))))
 
 
 def frames_of(spark: SparkSession, path: str, seqs: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def frames_of(spark: SparkSession, path: str, seqs: DataFrame) -> DataFrame:
     epochs = [r["epoch"] for r in wanted.select("epoch").distinct().limit(EPOCHS + 1).collect()]
     if len(epochs) <= EPOCHS:
         span = span.where(F.col("epoch").isin(epochs))
-    return _inflated(span.select("epoch", "begin", "data").join(wanted, ["epoch", "begin"]))
+    return inflated(span.select("epoch", "begin", "data").join(wanted, ["epoch", "begin"]))
 
 
 class _Run(InputPartition):

@@ -11,7 +11,7 @@ from conftest import rows
 from ledgerloom import schemas
 from ledgerloom.operators import extract, quality, state
 from ledgerloom.sources import archive, fixtures, records
-from ledgerloom.streaming import feed, streams
+from ledgerloom.streaming import feed, frame_log, streams
 
 SF = "/root/testdata/sf0.001"
 
@@ -262,3 +262,77 @@ def test_holdings_after_each_batch(spark, tmp_path):
         want = {(r["owner_id"], r["coin_type"]): (int(r["balance"]), r["coins"]) for r in state.holder_balances(spark.read.parquet(path)).collect()}
         assert {(r["owner_id"], r["coin_type"]): (int(r["balance"]), r["coins"]) for r in streams.holdings_now(spark, out).collect()} == want
         assert [int(r["balance"]) for r in streams.holdings_now(spark, out, 2).collect()] == sorted((v[0] for v in want.values()), reverse=True)[:2]
+
+
+def _framed(spark, first, last):
+    import zstandard
+
+    z = zstandard.ZstdCompressor()
+    return spark.createDataFrame([(s // 40, s, bytearray(z.compress(b"body %d" % s))) for s in range(first, last)], "epoch bigint, seq bigint, content binary")
+
+
+def _bodies(df):
+    return sorted((r["epoch"], r["seq"], bytes(r["body"])) for r in df.collect())
+
+
+def test_frame_log_survives_kills(spark, tmp_path):
+    """Killed before its commit a batch leaves parts that do not count; killed after it, the batch is run again and adds nothing."""
+    source, out, cursor = (str(tmp_path / n) for n in ("in", "out", "cursor"))
+
+    def run():
+        stream = spark.readStream.schema("epoch bigint, seq bigint, content binary").option("maxFilesPerTrigger", 1).parquet(source)
+        frame_log.sink_frame_log(stream, out, cursor, per_part=200).awaitTermination()
+
+    def expected(n):
+        return [(s // 40, s, b"body %d" % s) for s in range(n)]
+
+    _framed(spark, 0, 60).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert _bodies(frame_log.logged_frames(spark, out)) == expected(60)
+    _framed(spark, 60, 100).coalesce(1).write.mode("append").parquet(source)
+    run()
+    places = {(r.part, r.begin, r.rank) for r in frame_log.log_of(spark, out).collect()}
+    log = tmp_path / "out" / "log"
+    assert sorted(p.name for p in log.glob("*.json")) == ["0-feed-0.json", "1-feed-1.json"]
+
+    def forget():  # what Spark knows of batch 1 having ended
+        for name in ("1", ".1.crc"):
+            (tmp_path / "cursor" / "commits" / name).unlink()
+
+    forget()  # killed after the commit: Spark runs the batch again
+    run()
+    assert _bodies(frame_log.logged_frames(spark, out)) == expected(100)
+    assert {(r.part, r.begin, r.rank) for r in frame_log.log_of(spark, out).collect()} == places
+    orphans = len(list((tmp_path / "out" / "parts").glob("*.parquet")))
+
+    forget()  # killed before it: parts are there, the log does not name them
+    (log / "1-feed-1.json").unlink()
+    assert _bodies(frame_log.logged_frames(spark, out)) == expected(60)
+    run()
+    assert len(list((tmp_path / "out" / "parts").glob("*.parquet"))) > orphans
+    assert _bodies(frame_log.logged_frames(spark, out)) == expected(100)
+    assert _bodies(frame_log.logged_frames(spark, out, 55, 63)) == expected(100)[55:64]
+
+
+def test_frame_log_is_an_archive(spark, tmp_path):
+    source, out, cursor, packed = (str(tmp_path / n) for n in ("in", "out", "cursor", "packed"))
+    _framed(spark, 0, 130).repartition(3).write.parquet(source)
+    stream = spark.readStream.schema("epoch bigint, seq bigint, content binary").option("maxFilesPerTrigger", 2).parquet(source)
+    frame_log.sink_frame_log(stream, out, cursor, per_part=300).awaitTermination()
+    frame_log.logged_parts(spark, out).write.partitionBy("epoch").parquet(packed)
+    assert _bodies(archive.epoch_frames(spark, packed, 30, 90)) == [(s // 40, s, b"body %d" % s) for s in range(30, 91)]
+    by_epoch = {}
+    for r in archive.archive_index(spark, packed).collect():
+        by_epoch.setdefault(r.epoch, []).append((r.offset, r.length))
+    for found in by_epoch.values():  # frames stand one behind the other
+        found.sort()
+        assert [o for o, _ in found] == [sum(n for _, n in found[:k]) for k in range(len(found))]
+
+
+def test_frame_log_refuses_nulls(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([(1, None, bytearray(b"x"))], "epoch bigint, seq bigint, content binary").write.parquet(source)
+    stream = spark.readStream.schema("epoch bigint, seq bigint, content binary").parquet(source)
+    with pytest.raises(Exception, match="needs an epoch"):
+        frame_log.sink_frame_log(stream, str(tmp_path / "out"), str(tmp_path / "cursor")).awaitTermination()
+    assert not list((tmp_path / "out").glob("log/*.json"))

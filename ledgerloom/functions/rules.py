@@ -83,9 +83,13 @@ def indexed(entries: Column) -> Column:
 def find(index: Column, value: Column, key: str = "k") -> Column:
     """The first entry of an index whose key, its first field, is value; else null. As many looks as the number of entries has bits."""
     a = index["a"]
-    # an index beyond the end gives null, which is not less
-    at = F.aggregate(index["steps"], F.lit(0), lambda at, step: F.when(F.get(a, at + step - 1)[key] < value, at + step).otherwise(at))
-    return F.get(F.filter(F.array(F.get(a, at)), lambda x: x[key] == value), F.lit(0))  # a filter does not copy what it keeps
+
+    def search(v: Column) -> Column:
+        # an index beyond the end gives null, which is not less
+        at = F.aggregate(index["steps"], F.lit(0), lambda at, step: F.when(F.get(a, at + step - 1)[key] < v, at + step).otherwise(at))
+        return F.get(F.filter(F.array(F.get(a, at)), lambda x: x[key] == v), F.lit(0))  # a filter does not copy what it keeps
+
+    return let(value, search)  # else a value that is computed would be so at every step
 
 
 #: Lists of the effects in the order in which they tell how an object changed.

@@ -37,15 +37,23 @@ def _key(object_id: Column, version: Column) -> Column:
 
 
 def _states() -> Column:
-    """Index of the object states of a row by _key: the last transaction's first, the checkpoint's last."""
-    state = lambda o: F.struct(*(o[c].alias(c) for c in _OBJECT), o["package"].isNotNull().alias("is_package"))
-    entry = lambda rank: lambda o, i: F.struct(_key(o["object_id"], o["version"]).alias("k"), rank.alias("rank"), i.alias("i"), state(o).alias("s"))
-    some = lambda a: F.filter(a, lambda o: o["object_id"].isNotNull() & o["version"].isNotNull())
-    inner = F.transform(F.col("transactions"), lambda t: F.transform(some(t["objects"]), entry(-t["position"])))
-    top = F.transform(some(F.col("objects")), entry(F.lit((1 << 31) - 1)))
+    """Index of the object states of a row by _key: the last transaction's first, the checkpoint's last.
+
+    Its entries say where a state stands, so sorting and writing them moves no states.
+    """
+    entry = lambda rank, tx: lambda o, i: F.struct(_key(o["object_id"], o["version"]).alias("k"), rank.alias("rank"), i.alias("i"), tx.alias("tx"))
+    some = lambda a: F.filter(a, lambda e: e["k"].isNotNull())
+    inner = F.transform(F.col("transactions"), lambda t, n: some(F.transform(t["objects"], entry(-t["position"], n))))
+    top = some(F.transform(F.col("objects"), entry(F.lit((1 << 31) - 1), F.lit(-1))))
     return rules.indexed(F.flatten(F.filter(F.concat(F.coalesce(inner, F.array()), F.array(top)), lambda a: a.isNotNull())))
 
 
+def _state(entry: Column) -> Column:
+    """The state that an entry of the index stands for; null without an entry."""
+    o = F.when(entry["tx"] < 0, F.get("objects", entry["i"])).otherwise(F.get(F.get("transactions", entry["tx"])["objects"], entry["i"]))
+    return rules.let(o, lambda x: F.when(x.isNotNull(), F.struct(*(x[c].alias(c) for c in _OBJECT), x["package"].isNotNull().alias("is_package"))))
+
+
 def with_states(cp: DataFrame) -> DataFrame:
     """cp with the indexes that stated_lists looks things up in: states of the row, lists of the effects of each transaction.
 
@@ -63,7 +71,7 @@ def stated_lists() -> Column:
 
     def change(t: Column, c: Column, m: Column) -> Column:
         e, oid = t["effects"], c["object_id"]
-        at = lambda version: rules.find(F.col("_states"), _key(oid, c[version]))["s"]
+        at = lambda version: rules.let(rules.find(F.col("_states"), _key(oid, c[version])), _state)
         found = F.struct(at("input_version").alias("before"), at("output_version").alias("after"), rules.find(m["marks"], oid)["mark"].alias("mark"), rules.find(m["published"], oid).isNotNull().alias("published"))
         return rules.let(found, lambda x: F.struct(
             digest_of(t).alias("tx_digest"), t["position"].alias("position"), oid.alias("object_id"), rules.change_type(c, e["version"], x["mark"], x["published"], F.coalesce(x["after"]["is_package"], F.lit(False))).alias("change_type"),

@@ -288,7 +288,7 @@ class _Run(InputPartition):
         self.epoch, self.a, self.b = epoch, a, b
 
 
-class _ArchiveReader(DataSourceReader):
+class _RunReader(DataSourceReader):
     """Index files are searched by halving, so the driver holds no entries, only where runs begin."""
 
     def __init__(self, options: dict):
@@ -296,31 +296,6 @@ class _ArchiveReader(DataSourceReader):
         self.run = int(options.get("runBytes", RUN))
         self.epochs: tuple[int, int, frozenset[int] | None] = (0, (1 << 63) - 1, None)
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Comparisons of seq and epoch become ranges, which index files are searched for; an epoch out of range is not opened. Spark keeps the rest."""
-        for f in filters:
-            name, value = getattr(f, "attribute", None), getattr(f, "value", None)
-            if name not in (("seq",), ("epoch",)) or isinstance(f, Not) or not (isinstance(f, In) or isinstance(value, int)):
-                yield f
-                continue
-            if isinstance(f, In):
-                known = [v for v in value if isinstance(v, int)]
-                low, high, some = min(known, default=0), max(known, default=-1), frozenset(known)
-                if name == ("seq",):
-                    yield f  # numbers between those of the list are read, so Spark looks again
-            else:
-                some = None
-                low = value + 1 if isinstance(f, GreaterThan) else value if isinstance(f, (GreaterThanOrEqual, EqualTo, EqualNullSafe)) else 0
-                high = value - 1 if isinstance(f, LessThan) else value if isinstance(f, (LessThanOrEqual, EqualTo, EqualNullSafe)) else (1 << 64) - 1
-                if not isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo, EqualNullSafe)):
-                    yield f
-                    continue
-            if name == ("seq",):
-                self.first, self.last = max(self.first, low), min(self.last, high)
-            else:
-                a, b, among = self.epochs
-                self.epochs = (max(a, low), min(b, high), some if among is None else among if some is None else among & some)
-
     def partitions(self) -> list[InputPartition]:
         out = []
         for name in sorted(os.listdir(self.path)):
@@ -366,6 +341,35 @@ class _ArchiveReader(DataSourceReader):
                 yield p.epoch, seq, z.decompress(f.read(length), max_output_size=1 << 30)
 
 
+class _ArchiveReader(_RunReader):
+    """With filters pushed down, which Spark allows only where its setting is on."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Comparisons of seq and epoch become ranges, which index files are searched for; an epoch out of range is not opened. Spark keeps the rest."""
+        for f in filters:
+            name, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if name not in (("seq",), ("epoch",)) or isinstance(f, Not) or not (isinstance(f, In) or isinstance(value, int)):
+                yield f
+                continue
+            if isinstance(f, In):
+                known = [v for v in value if isinstance(v, int)]
+                low, high, some = min(known, default=0), max(known, default=-1), frozenset(known)
+                if name == ("seq",):
+                    yield f  # numbers between those of the list are read, so Spark looks again
+            else:
+                some = None
+                low = value + 1 if isinstance(f, GreaterThan) else value if isinstance(f, (GreaterThanOrEqual, EqualTo, EqualNullSafe)) else 0
+                high = value - 1 if isinstance(f, LessThan) else value if isinstance(f, (LessThanOrEqual, EqualTo, EqualNullSafe)) else (1 << 64) - 1
+                if not isinstance(f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, EqualTo, EqualNullSafe)):
+                    yield f
+                    continue
+            if name == ("seq",):
+                self.first, self.last = max(self.first, low), min(self.last, high)
+            else:
+                a, b, among = self.epochs
+                self.epochs = (max(a, low), min(b, high), some if among is None else among if some is None else among & some)
+
+
 class _Wrote(WriterCommitMessage):
     def __init__(self, sizes: dict[int, tuple[int, int]]):
         self.sizes = sizes
@@ -428,8 +432,8 @@ class _ArchiveWriter(DataSourceWriter):
 class EpochArchive(DataSource):
     """spark.read.format("epoch_archive"): {epoch}.zst with {epoch}.idx on a mounted file system, by byte ranges.
 
-    Options of a read: path, from, to, runBytes (bytes of a task, about); index entries ascend by seq. Filters
-    on seq and epoch are pushed down. register_archive makes it known.
+    Options of a read: path, from, to, runBytes (bytes of a task, about); index entries ascend by seq.
+    register_archive makes it known with filters on seq and epoch pushed down.
     A write takes the rows of archive_parts; an epoch that is there is an error, or is replaced in mode
     overwrite. For other stores use the table form.
     """
@@ -442,16 +446,23 @@ class EpochArchive(DataSource):
         return "epoch bigint, seq bigint, body binary"
 
     def reader(self, schema) -> DataSourceReader:
-        return _ArchiveReader(self.options)
+        return _RunReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         return _ArchiveWriter(self.options, overwrite)
 
 
+class PushedArchive(EpochArchive):
+    """The same under the same name, with filters pushed down."""
+
+    def reader(self, schema) -> DataSourceReader:
+        return _ArchiveReader(self.options)
+
+
 def register_archive(spark: SparkSession) -> None:
     """Make the format epoch_archive known, with filters pushed down to it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(EpochArchive)
+    spark.dataSource.register(PushedArchive)
 
 
 def sink_epoch_files(frames: DataFrame, path: str, per_part: int = 32 << 20, mode: str = "append") -> None:

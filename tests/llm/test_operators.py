@@ -312,6 +312,34 @@ def test_lines_of_variants_that_share_a_prefix(spark):
     check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows)
 
 
+@pytest.mark.parametrize("n", [2, 5])
+def test_lines_of_few_words(spark, n):
+    """Repeated shingles and first words that tie, where a line has fewer tokens than places."""
+    rnd = random.Random(21)
+    rows = []
+    for i in range(60):
+        w = rnd.choices(("a", "B", "c"), (8, 1, 1), k=rnd.randrange(1, 45))
+        rows.append((i // 2, "\n".join((" ".join(w), "\t".join(w[1:]), "  ".join([*w, "a"]) + " "))))
+    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows, n)
+
+
+def test_lines_alone_are_not_ordered(spark, monkeypatch):
+    """Only lines that share a token of the sift with another line have all their tokens made and ordered."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(200)]
+    rows += [(200, rows[7][1].replace("w7x29", "other")), (201, rows[9][1])]
+    held = {}
+
+    def counted(df, tag, *args):
+        out = written(df, tag, *args)
+        held[tag] = max(out.count(), held.get(tag, 0))
+        return out
+
+    written = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", counted)
+    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows)
+    assert held["line-heads"] == 2
+
+
 def test_lines_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     gone = dict(zip(docs, brute_lines(list(docs.items()))))

@@ -340,6 +340,39 @@ def test_lines_alone_are_not_ordered(spark, monkeypatch):
     assert held["line-heads"] == 2
 
 
+def test_lines_with_a_few_common_shingles(spark, monkeypatch):
+    """Lines that share some phrases with many others, but too few for a match, are not ordered; short lines and matches are."""
+    rnd = random.Random(5)
+    phrases = [" ".join(f"p{j}q{k}" for k in range(6)) for j in range(4)]
+    rows = [(i, " ".join([*(f"w{i}x{k}" for k in range(40)), phrases[rnd.randrange(4)], *(f"v{i}x{k}" for k in range(40))])) for i in range(200)]
+    rows += [(200, rows[7][1].replace("w7x0 ", "")), (201, "a b c d e f g"), (202, "b a b c d e f g"), (203, "a b c d e f g h"), (204, "a b c d e f"), (205, "One two"), (206, "one two"), (207, "a a a a a a a"), (208, "a a a a a a A a")]
+    held = {}
+
+    def counted(df, tag, *args):
+        out = written(df, tag, *args)
+        held[tag] = max(out.count(), held.get(tag, 0))
+        return out
+
+    written = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", counted)
+    check_lines(docs_of(spark, [(*r, None, None, "n") for r in rows]), rows)
+    assert held["line-heads"] < 30
+
+
+@pytest.mark.parametrize("num, den", [(1, 2), (9, 10), (1, 5)])
+def test_lines_of_other_similarities(spark, num, den):
+    rnd = random.Random(num)
+    rows = []
+    for i in range(50):
+        w = [f"w{k}" for k in range(rnd.choice((3, 5, 6, 7, 9, 20)))]
+        for _ in range(rnd.randrange(3)):
+            w[rnd.randrange(len(w))] = rnd.choice(("x", f"y{i}"))
+        rows.append((i, " ".join(w[rnd.randrange(2) :])))
+    df = docs_of(spark, [(*r, None, None, "n") for r in rows])
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.dedup_lines(df, num=num, den=den).collect()}
+    assert got == dict(enumerate(brute_lines(rows, 5, num, den)))
+
+
 def test_lines_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     gone = dict(zip(docs, brute_lines(list(docs.items()))))

@@ -65,23 +65,29 @@ def wrapped(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union([laid_out(n, df).select(F.to_json(F.struct(F.lit(n).alias("table"), F.struct("*").alias("row")), JSON).alias("value")) for n, df in tables.items()])
 
 
-def sink_jsonl_tagged(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
+def _write_lines(lines: DataFrame, path: str, mode: str, compression: str | None) -> None:
+    """compression names a codec of Spark's text files; readers tell it from the files' names."""
+    w = lines.write.mode(mode)
+    (w.option("compression", compression) if compression else w).text(path)
+
+
+def sink_jsonl_tagged(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
     """One table alone is written without the tag, as sink_jsonl_single does."""
     if len(tables) == 1:
-        return sink_jsonl_single(tables, next(iter(tables)), path, mode)
-    tagged(tables).write.mode(mode).text(path)
+        return sink_jsonl_single(tables, next(iter(tables)), path, mode, compression)
+    _write_lines(tagged(tables), path, mode, compression)
 
 
-def sink_jsonl_single(tables: Mapping[str, DataFrame], table: str, path: str, mode: str = "errorifexists") -> None:
-    laid_out(table, tables[table]).select(F.to_json(F.struct("*"), JSON).alias("value")).write.mode(mode).text(path)
+def sink_jsonl_single(tables: Mapping[str, DataFrame], table: str, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    _write_lines(laid_out(table, tables[table]).select(F.to_json(F.struct("*"), JSON).alias("value")), path, mode, compression)
 
 
-def sink_jsonl_wrapped(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists") -> None:
-    wrapped(tables).write.mode(mode).text(path)
+def sink_jsonl_wrapped(tables: Mapping[str, DataFrame], path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    _write_lines(wrapped(tables), path, mode, compression)
 
 
-def sink_append_file(tables: Mapping[str, DataFrame], path: str) -> None:
-    sink_jsonl_wrapped(tables, path, "append")
+def sink_append_file(tables: Mapping[str, DataFrame], path: str, compression: str | None = None) -> None:
+    sink_jsonl_wrapped(tables, path, "append", compression)
 
 
 def sink_noop(tables: Mapping[str, DataFrame], mode: str = "no_write") -> DataFrame | None:
